@@ -79,3 +79,60 @@ def rate_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("R"), F.col("p_partkey").cast("string")).alias("rate_id"),
         F.when(F.col("p_type") == "PROMO", F.lit(None).cast("string")).otherwise(F.col("p_brand")).alias("new_rate_bucket"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Booking feed and warehouse star schema (expressions in ``feed_sql``).
+# ---------------------------------------------------------------------------
+
+from bindings import feed_sql as FS  # noqa: E402
+
+
+def _orders_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_nationkey")
+    return orders.join(customer, orders.o_custkey == customer.c_custkey, "inner")
+
+
+def booking_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw feed rows (all text, raw column names), one per order."""
+    helpers = _orders_customers(spark, sf_dir).selectExpr(*_split_select(FS.HELPERS_SPARK))
+    return helpers.selectExpr(*FS.feed_select_list())
+
+
+def star_schema(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """fact_hotel, dim_booking, dim_supplier, dim_traveler_profile, dim_location."""
+    oc = _orders_customers(spark, sf_dir)
+    helpers = oc.selectExpr(*_split_select(FS.HELPERS_SPARK), *_split_select(FS.HELPERS_FACT_SPARK))
+    fact = helpers.filter(F.expr(FS.FACT_FILTER)).selectExpr(*[f"{e} AS {n}" for n, e in FS.FACT])
+    dim_booking = helpers.selectExpr(*[f"{e} AS {n}" for n, e in FS.DIM_BOOKING])
+    dim_supplier = helpers.selectExpr(*[f"{e} AS {n}" for n, e in FS.DIM_SUPPLIER]).distinct()
+    customer = table(spark, sf_dir, "customer")
+    dim_traveler = customer.filter(F.expr(FS.DIM_TRAVELER_FILTER)).selectExpr(*[f"{e} AS {n}" for n, e in FS.DIM_TRAVELER])
+    nation = table(spark, sf_dir, "nation")
+    dim_location = nation.filter(F.expr(FS.DIM_LOCATION_FILTER)).selectExpr(*[f"{e} AS {n}" for n, e in FS.DIM_LOCATION])
+    return {
+        "fact_hotel": fact,
+        "dim_booking": dim_booking,
+        "dim_supplier": dim_supplier,
+        "dim_traveler_profile": dim_traveler,
+        "dim_location": dim_location,
+    }
+
+
+def _split_select(text: str) -> list[str]:
+    """Split a select list on top-level commas."""
+    out, depth, cur = [], 0, []
+    for ch in text.strip():
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        if ch == "," and depth == 0:
+            out.append("".join(cur).strip())
+            cur = []
+        else:
+            cur.append(ch)
+    if "".join(cur).strip():
+        out.append("".join(cur).strip())
+    return out

@@ -58,8 +58,10 @@ def drop_bad_rows(df: DataFrame, numeric_column: str) -> DataFrame:
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    """Rename columns; names not present are ignored (as ``withColumnRenamed``)."""
-    present = {old: new for old, new in mapping.items() if old in df.columns}
+    """Rename columns (names matched case-insensitively, as Spark resolves them);
+    names not present are ignored (as ``withColumnRenamed``)."""
+    by_lower = {c.lower(): c for c in df.columns}
+    present = {by_lower[old.lower()]: new for old, new in mapping.items() if old.lower() in by_lower}
     return df.withColumnsRenamed(present) if present else df
 
 
