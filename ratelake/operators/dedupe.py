@@ -1,16 +1,11 @@
 """Latest row per key: ``row_number`` (one row) and ``rank`` (ties kept) forms.
 
-Both are window functions partitioned by the key and filtered to the top, a
-shape Catalyst turns into a *partial* ``WindowGroupLimit`` before the shuffle
-plus a final one after it: every map task forwards at most its own top rows
-per key, so a key holding a large share of the rows costs no more than any
-other after the shuffle.
-
-Rows whose key columns are all NULL form one window group (SQL semantics),
-and in real feeds that group is often the hottest. For the ties-kept form it
-is reduced apart from the window: its top order value is found by a global
-``ORDER BY … LIMIT 1`` (a per-task top-1 and a merge of one row per task),
-and the group's rows are kept by a join with that single row.
+Both are one window function partitioned by the key and filtered to the top,
+a shape Catalyst plans as a *partial* ``WindowGroupLimit`` before the shuffle
+and a final one after it. Every map task forwards at most its own top row
+(or its own tied top rows) per key, so a key holding a third of the input —
+typically the NULL key, which SQL treats as one group — reaches its reducer
+as one row per map task, not as a third of the data. The input is read once.
 """
 
 from __future__ import annotations
@@ -40,13 +35,6 @@ def _sort_cols(parts: list[tuple[Column, bool]]) -> list[Column]:
     return [c.desc_nulls_last() if desc else c.asc_nulls_first() for c, desc in parts]
 
 
-def _all_null(keys: Sequence[str]) -> Column:
-    cond = F.col(keys[0]).isNull()
-    for k in keys[1:]:
-        cond = cond & F.col(k).isNull()
-    return cond
-
-
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -73,24 +61,8 @@ def latest_per_key(
         out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1)
         return out if rank_column else out.drop(rn)
 
-    # ties == "all": window for real keys, the all-NULL group apart.
     w = Window.partitionBy(*keys).orderBy(*_sort_cols(parts))
-    keyed = df.filter(~_all_null(keys))
-    ranked = keyed.withColumn(rn, F.rank().over(w)).filter(F.col(rn) == 1)
-
-    null_rows = df.filter(_all_null(keys))
-    ord_names = [f"__o{i}" for i in range(len(parts))]
-    staged = null_rows.withColumns({n: c for n, (c, _) in zip(ord_names, parts)})
-    top = staged.select(*ord_names).orderBy(*_sort_cols([(F.col(n), d) for n, (_, d) in zip(ord_names, parts)])).limit(1)
-    top = top.select(*[F.col(n).alias(n + "_t") for n in ord_names])
-    cond = None
-    for n in ord_names:
-        c = F.col(n).eqNullSafe(F.col(n + "_t"))
-        cond = c if cond is None else cond & c
-    # ``top`` has at most one row: a proven size bound for the broadcast.
-    null_top = staged.join(F.broadcast(top), on=cond, how="inner").drop(*ord_names, *[n + "_t" for n in ord_names])
-    null_top = null_top.withColumn(rn, F.lit(1))
-    out = ranked.unionByName(null_top.select(*ranked.columns))
+    out = df.withColumn(rn, F.rank().over(w)).filter(F.col(rn) == 1)
     return out if rank_column else out.drop(rn)
 
 

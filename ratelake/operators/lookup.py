@@ -7,23 +7,28 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
+# Default: no hint. Spark's planner broadcasts a side whose estimated size
+# (file statistics) is under spark.sql.autoBroadcastJoinThreshold, and AQE
+# switches a sort-merge join to a broadcast at run time when the measured
+# shuffle output of a side is under
+# spark.sql.adaptive.autoBroadcastJoinThreshold; beyond either bound the join
+# stays a shuffle join. Both are size checks with a fallback.
+DEFAULT_BROADCAST_MAX_ROWS: int | None = None
 
 
 def fits_in(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+    """True when ``df`` has at most ``max_rows`` rows (runs one job).
 
-    Runs ``limit(max_rows + 1).count()``: the scan stops after that many rows,
-    so the check stays cheap however large the table is.
+    Meant for sides expected to be small (dimensions, lookups): each input
+    partition contributes at most ``max_rows + 1`` rows to the check.
     """
     return df.limit(max_rows + 1).count() <= max_rows
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint only for a side proven to be small.
+    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
 
-    ``max_rows=None`` leaves the choice to the planner and AQE, which switch a
-    shuffle join to a broadcast at run time when the measured side is small.
+    ``max_rows=None`` leaves the choice to the planner and AQE (see above).
     """
     if max_rows is not None and fits_in(df, max_rows):
         return F.broadcast(df)

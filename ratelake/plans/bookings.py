@@ -46,7 +46,7 @@ LIVE_SUPPLIER_DATES = ["2000-01-01", "2999-12-31"]
 FACT_START_FROM = "2016-01-01"
 KEYED_ROW_NUM = 9999
 EFFECTIVE_PARTS = ["effective_date_year", "effective_date_month", "effective_date_day"]
-DIM_BROADCAST_MAX_ROWS = 2_000_000
+DIM_BROADCAST_MAX_ROWS: int | None = None  # planner + AQE decide (see operators.lookup)
 
 DEFAULT_BOOKING_TIE_BREAK: list[OrderSpec] = [("confirmation_ref", "desc"), ("sessionid", "desc")]
 
@@ -134,8 +134,11 @@ def dwh_mapping(
 ) -> DataFrame:
     """Fact → dimensions, match keys, latest fact per full key (ties kept).
 
-    Small dimensions are broadcast after a row-count check; the booking
-    dimension (one row per fact) is shuffle-joined.
+    Joins are plain equi-joins: Spark broadcasts a dimension only under its
+    size thresholds (static statistics, then AQE's measured sizes) and keeps a
+    shuffle join beyond them. ``dim_broadcast_max_rows`` adds an explicit,
+    row-count-checked broadcast of the supplier, traveller and location
+    dimensions; the booking dimension (one row per fact) is never hinted.
     """
     fact = fact_hotel.filter(F.col("start_date") >= F.lit(start_from).cast("timestamp_ntz")).select(
         "fact_hotel_id",
