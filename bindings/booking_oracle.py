@@ -314,6 +314,7 @@ _WITH_ALL = f"WITH {BOOKINGS},\n{STAR},\n{CASCADE}"
 
 BOOKING_ORACLE: dict[str, str] = {
     "feed_ingest": f"WITH {FEED}\nSELECT * FROM raw",
+    "feed_ingest_stream": f"WITH {FEED}\nSELECT * REPLACE (NULLIF(date_created_day, '') AS date_created_day) FROM raw",
     "base_projection": f"WITH {BOOKINGS}\nSELECT * FROM base",
     "parse_compact_dates": f"""WITH {FEED}
 SELECT confirmation_ref, {compact_ts_sql('date_in', 2)} AS date_in, {compact_ts_sql('date_out', 2)} AS date_out,
