@@ -358,6 +358,7 @@ def booking_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
         root=f"{root}/stages",
         run_date=RUN_DATE,
         facts_from=FACTS_FROM,
+        tables={"keyed": f"hcp_txns_new_{uuid.uuid4().hex[:8]}", "edm": f"hcp_txns_to_dwh_{uuid.uuid4().hex[:8]}"},
     )
 
 

@@ -107,6 +107,10 @@ FROM counts GROUP BY ALL""",
 WITH {SEARCHES}, {PIVOTED}
 SELECT year, month, day, CLIENT_RATE_TYPE, top3_rate_flag, CAST(sum(responses) AS BIGINT) AS total_responses
 FROM counts GROUP BY ALL""",
+    "availability_job": f"""
+WITH {SEARCHES}, {PIVOTED}
+SELECT year, month, day, CLIENT_RATE_TYPE, top3_rate_flag, CAST(sum(responses) AS BIGINT) AS total_responses
+FROM counts WHERE year BETWEEN 1996 AND 2000 GROUP BY ALL""",
     "partitioned_roundtrip": f"""
 WITH {SEARCHES}, {PIVOTED}
 SELECT * FROM counts WHERE year >= 1997 AND month <= 6 AND day BETWEEN 10 AND 20""",

@@ -92,6 +92,22 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.filter((F.col("year") >= 1997) & (F.col("month") <= 6) & F.col("day").between(10, 20))
 
 
+def availability_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole analysis on a day-partitioned search log, with lineage cuts."""
+    root = scratch_path(spark, "availability")
+    write_parquet(inputs.search_log(spark, sf_dir), f"{root}/searches", partition_by=rates.DAY_COLS)
+    write_parquet(inputs.rate_lookup(spark, sf_dir), f"{root}/lookup")
+    return rates.run_availability_job(
+        spark,
+        f"{root}/searches",
+        f"{root}/lookup",
+        f"{root}/counts",
+        f"{root}/summary",
+        partition_filter=F.col("year").between(1996, 2000),
+        checkpoint=True,
+    )
+
+
 QUERIES: dict[str, Query] = {
     "scan_pruned_schema": scan_pruned_schema,
     "lookup_left_default": lookup_left_default,
@@ -102,4 +118,5 @@ QUERIES: dict[str, Query] = {
     "rate_summary": rate_summary,
     "rate_summary_csv": rate_summary_csv,
     "partitioned_roundtrip": partitioned_roundtrip,
+    "availability_job": availability_job,
 }

@@ -202,26 +202,39 @@ def run_booking_pipeline(
     feed_columns: Sequence[str],
     star_paths: dict[str, str],
     root: str,
-    run_date: str,
+    run_date: str | None = None,
     facts_from: str = FACT_START_FROM,
     yesterday_path: str | None = None,
     publish_path: str | None = None,
     edm_path: str | None = None,
     tie_break: Sequence[OrderSpec] = DEFAULT_BOOKING_TIE_BREAK,
+    tables: dict[str, str] | None = None,
 ) -> DataFrame:
     """The daily job. Each stage is written under ``root`` (shared storage) and
     the next one starts from its files; returns the published consumer copy.
 
     ``star_paths`` maps fact_hotel, dim_booking, dim_supplier,
-    dim_traveler_profile and dim_location to Parquet paths.
+    dim_traveler_profile and dim_location to Parquet paths. ``tables`` maps
+    stage names (raw, base, keyed, mapping, matched, published, edm) to catalog
+    table names; those stages are written as external tables at their paths.
+    ``run_date`` defaults to the current date.
     """
     from ratelake.operators.delta import snapshot_delta
     from ratelake.operators.export import EDM_RENAMES, renamed_for_consumer, to_contract
     from ratelake.operators.match import resolve_matches
-    from ratelake.sources.sinks import materialize, staged_overwrite, write_parquet
+    from ratelake.sources.sinks import save_as_table, staged_overwrite, write_parquet
 
     publish_path = publish_path or f"{root}/published"
     edm_path = edm_path or f"{root}/edm"
+    tables = dict(tables or {})
+
+    def materialize(df: DataFrame, path: str, parts: Sequence[str] | None = None, stage: str = "") -> DataFrame:
+        stage = stage or path.rsplit("/", 1)[-1]
+        if stage in tables:
+            save_as_table(df, tables[stage], path, partition_by=parts)
+        else:
+            write_parquet(df, path, partition_by=parts)
+        return spark.read.parquet(path)
 
     # ingest: text → raw Parquet by created day (parts read back as INT)
     materialize(ingest_feed(spark, feed_paths, feed_schema(feed_columns)), f"{root}/raw", CREATED_PARTS)
@@ -246,9 +259,12 @@ def run_booking_pipeline(
     matched = materialize(resolve_matches(keyed, mapping, tie_break=tie_break), f"{root}/matched", CREATED_PARTS)
 
     # publish: delta against yesterday, staged swap, consumer copy
-    stamped = matched.withColumns({"dl_last_modified_date": F.lit(run_date).cast("date"), "rk": F.lit(1), "rk_f": F.lit(1)})
+    load_date = F.current_date() if run_date is None else F.lit(run_date).cast("date")
+    stamped = matched.withColumns({"dl_last_modified_date": load_date, "rk": F.lit(1), "rk_f": F.lit(1)})
     yesterday = _read_or_empty(spark, yesterday_path, to_contract(stamped).schema)
     snapshot = snapshot_delta(matched, yesterday, run_date)
     published = staged_overwrite(snapshot, publish_path, f"{root}/publish_staging")
-    write_parquet(renamed_for_consumer(published, EDM_RENAMES), edm_path)
-    return spark.read.parquet(edm_path)
+    if "published" in tables:
+        # external table over the files just published (no second copy)
+        spark.catalog.createTable(tables["published"], path=publish_path, source="parquet")
+    return materialize(renamed_for_consumer(published, EDM_RENAMES), edm_path, stage="edm")
