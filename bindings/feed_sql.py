@@ -258,16 +258,16 @@ DIM_SUPPLIER = [
     ("harp_key", "CASE WHEN c % 23 = 7 THEN '-1' ELSE 'HR' || CAST(c % 23 AS STRING) || pd END"),
     ("discontinue_date", "CASE WHEN c % 23 = 5 THEN '2015-06-30' WHEN c % 23 = 9 THEN '2000-01-01' ELSE '2999-12-31' END"),
 ]
-# dim_traveler_profile: one row per customer (customers c % 50 = 1 missing).
+# dim_traveler_profile: one row per customer; customers in debit are missing.
 DIM_TRAVELER = [
     ("dim_traveler_profile_id", "c_custkey"),
     ("traveler_guid", "CASE WHEN c_mktsegment = 'HOUSEHOLD' AND c_custkey % 3 = 0 THEN CAST(NULL AS STRING) WHEN c_custkey % 13 = 0 THEN 'UNKNOWN' WHEN c_custkey % 2 = 0 THEN 'G:' || CAST(c_custkey AS STRING) || ':' || CAST(c_nationkey AS STRING) ELSE 'G' || CAST(c_custkey AS STRING) END"),
     ("country_code", "'C' || CAST(c_nationkey AS STRING)"),
 ]
-DIM_TRAVELER_FILTER = "c_custkey % 50 <> 1"
-# dim_location: nations; those with n_nationkey % 7 = 3 are missing.
+DIM_TRAVELER_FILTER = "c_acctbal >= 0"
+# dim_location: nations; the nations of region 3 are missing.
 DIM_LOCATION = [
     ("dim_location_id", "n_nationkey"),
     ("country_code", "'C' || CAST(n_nationkey AS STRING)"),
 ]
-DIM_LOCATION_FILTER = "n_nationkey % 7 <> 3"
+DIM_LOCATION_FILTER = "n_regionkey <> 3"
