@@ -11,7 +11,6 @@ from bindings import feed_sql as FS
 from bindings import inputs
 from ratelake.contracts import CREATED_PARTS
 from ratelake.functions.casts import compact_date, compact_datetime_text, date_parts, lenient_double, lenient_int
-from ratelake.functions.keys import booking_locator, match_keys as key_columns
 from ratelake.functions.rules import RATE_BUCKET_DEFAULT, RATE_BUCKET_RULES, channel_type, classify, rate_id
 from ratelake.functions.text import normalise_id
 from ratelake.operators.dedupe import any_per_key, latest_per_key

@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ratelake.contracts import CREATED_PARTS, FEED_RENAMES
 from ratelake.plans.bookings import feed_schema
