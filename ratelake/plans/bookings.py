@@ -27,8 +27,8 @@ from ratelake.functions.rules import (
     RATE_BUCKET_DEFAULT,
     RATE_BUCKET_RULES,
     channel_type,
-    classify,
     rate_id,
+    rules_column,
 )
 from ratelake.functions.text import normalise_id
 from ratelake.operators.dedupe import OrderSpec, latest_per_key
@@ -71,10 +71,12 @@ def base_projection(raw: DataFrame) -> DataFrame:
     Amounts read as DOUBLE, counters as INT (legacy truncation), ``yyMMdd``
     dates as timestamps, ``yyMMdd HH:mm:ss`` values as canonical text with the
     empty sentinel kept, traveller ids normalised, and the channel, rate id
-    and rate bucket classified by the rule tables.
+    and rate bucket classified by the rule tables. One projection: repeated
+    sub-expressions (``lower(rate_description)``, the channel) are evaluated
+    once per row by Spark's subexpression elimination.
     """
-    staged = classify(raw, RATE_BUCKET_RULES, RATE_BUCKET_DEFAULT, "__bucket")
-    staged = staged.withColumn("__channel", channel_type())
+    channel = channel_type()
+    bucket = rules_column(RATE_BUCKET_RULES, RATE_BUCKET_DEFAULT)
     exprs = []
     for out, kind, src in BASE_PROJECTION:
         if kind == "pass":
@@ -90,15 +92,15 @@ def base_projection(raw: DataFrame) -> DataFrame:
         elif kind == "guid":
             e = normalise_id(src)
         elif kind == "channel":
-            e = F.col("__channel")
+            e = channel
         elif kind == "rate_id":
-            e = rate_id("hotelhub_property_id", "rate_access_code_booked", "booked_rate_type_code", F.col("__channel"))
+            e = rate_id("hotelhub_property_id", "rate_access_code_booked", "booked_rate_type_code", channel)
         elif kind == "rate_bucket":
-            e = F.col("__bucket")
+            e = bucket
         else:
             raise ValueError(kind)
         exprs.append(e.alias(out))
-    return staged.select(*exprs)
+    return raw.select(*exprs)
 
 
 def latest_bookings(base: DataFrame, tie_break: Sequence[OrderSpec] = DEFAULT_BOOKING_TIE_BREAK) -> DataFrame:
