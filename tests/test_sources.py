@@ -95,3 +95,18 @@ def test_spread_if_narrow(spark):
     assert spread_if_narrow(df, 4).rdd.getNumPartitions() == 4
     wide = spark.range(0, 100, 1, 8)
     assert spread_if_narrow(wide, 4) is wide
+
+
+def test_single_csv_is_one_sorted_file(spark):
+    import glob
+
+    from ratelake.sources.sinks import write_single_csv
+
+    path = scratch_path(spark, "csv").replace("file:", "")
+    df = spark.range(0, 500, 1, 8).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b")).distinct()
+    write_single_csv(df, path, order_by=["a", "b"])
+    files = glob.glob(f"{path}/part-*.csv")
+    assert len(files) == 1
+    lines = open(files[0]).read().splitlines()
+    body = [tuple(int(x) for x in l.split(",")) for l in lines[1:]]
+    assert lines[0] == "a,b" and body == sorted(body) and len(body) == 35
