@@ -49,8 +49,14 @@ def pivot_labels(
 
     Output: ``group_cols`` + one column per wanted id holding the first
     non-NULL value (values are listed, so the pivot needs no distinct job).
-    Use :func:`pivot_labels_per_row` when ``group_cols`` identify rows.
+
+    When the groups are whole rows (``group_cols`` are all the columns), a
+    group is one distinct row: the pivot is then a hash-aggregated distinct
+    followed by the per-row form, instead of a sort-based aggregate over the
+    exploded labels.
     """
+    if set(group_cols) == set(df.columns):
+        return pivot_labels_per_row(df.select(*group_cols).distinct(), labels, wanted)
     exploded = (
         df.withColumn("__label", F.explode(F.col(labels)))
         .withColumn("__n_labels", F.size(F.col(labels)))
