@@ -26,10 +26,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     # Unset: tests and local runs only. A cluster always names a shared folder.
+    # (The core setting cannot change at run time; the context's folder can.)
     local = tempfile.mkdtemp(prefix="ratelake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return (spark.sparkContext.getCheckpointDir() or local).rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
