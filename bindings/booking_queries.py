@@ -19,7 +19,7 @@ from ratelake.operators.export import EDM_RENAMES, renamed_for_consumer, to_cont
 from ratelake.operators.match import match_tiers, resolve_matches
 from ratelake.plans import bookings as B
 from ratelake.session import scratch_path
-from ratelake.sources.feeds import compact_date_partition_parts, drop_bad_rows, rename_columns
+from ratelake.sources.feeds import compact_date_partition_parts, drop_bad_rows, rename_columns, schema_from_json
 from ratelake.sources.parquet import read_parquet
 from ratelake.sources.sinks import (
     count_written,
@@ -60,7 +60,9 @@ def feed_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"{root}/{sub}", sep="\t", header=True, nullValue="\\N",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
-    schema = B.feed_schema(FS.FEED_NAMES)
+    # The feed's schema document (JSON), as shipped next to the exports.
+    schema_doc = B.feed_schema(FS.FEED_NAMES).json()
+    schema = schema_from_json(schema_doc)
     return B.ingest_feed(spark, [f"{root}/daily/*.csv", f"{root}/history/*.csv"], schema)
 
 
