@@ -7,7 +7,7 @@ from ratelake.sources.feeds import (
     rename_columns,
     schema_from_json,
 )
-from ratelake.sources.parquet import read_parquet, strings_for_binary
+from ratelake.sources.parquet import read_parquet, spread_if_narrow, strings_for_binary
 from ratelake.sources.sinks import (
     count_written,
     materialize,
@@ -27,6 +27,7 @@ __all__ = [
     "rename_columns",
     "save_as_table",
     "schema_from_json",
+    "spread_if_narrow",
     "staged_overwrite",
     "strings_for_binary",
     "write_parquet",
