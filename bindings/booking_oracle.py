@@ -303,7 +303,7 @@ def delta_sql(today: str, yesterday: str | None, renames: dict[str, str] | None
     )
     return f"""
 SELECT {final_cols} FROM (
-  SELECT *, row_number() OVER (PARTITION BY pnr_mk ORDER BY dl_last_modified_date DESC NULLS LAST,
+  SELECT *, row_number() OVER (PARTITION BY pnr_mk ORDER BY dl_last_modified_date ASC NULLS FIRST,
     hotelhub_booking_ref ASC NULLS FIRST, confirmation_ref ASC NULLS FIRST, fact_hotel_id DESC NULLS LAST) AS rn
   FROM ({carried}{fresh})
 ) WHERE rn = 1"""
