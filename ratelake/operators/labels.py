@@ -44,6 +44,7 @@ def pivot_labels(
     labels: str,
     wanted: Sequence[str],
     group_cols: Sequence[str],
+    order_by: str | None = None,
 ) -> DataFrame:
     """General label pivot: explode, keep wanted labels, pivot by label id.
 
@@ -58,7 +59,7 @@ def pivot_labels(
     if set(group_cols) == set(df.columns):
         return pivot_labels_per_row(df.select(*group_cols).distinct(), labels, wanted)
     exploded = (
-        df.withColumn("__label", F.explode(F.col(labels)))
+        df.select("*", F.posexplode(F.col(labels)).alias("__pos", "__label"))
         .withColumn("__n_labels", F.size(F.col(labels)))
         .filter(
             (F.col("__label.id").isNull() & (F.col("__n_labels") == 1))
@@ -67,8 +68,10 @@ def pivot_labels(
         .withColumn("__label_id", F.col("__label.id"))
         .withColumn("__label_value", F.col("__label.value"))
     )
-    return (
-        exploded.groupBy(*group_cols)
-        .pivot("__label_id", list(wanted))
-        .agg(F.first("__label_value", ignorenulls=True))
-    )
+    if order_by is None:
+        value = F.first("__label_value", ignorenulls=True)
+    else:
+        # min_by skips rows whose ordering is NULL: NULL values never win.
+        rank = F.when(F.col("__label_value").isNotNull(), F.struct(F.col(order_by), F.col("__pos")))
+        value = F.min_by("__label_value", rank)
+    return exploded.groupBy(*group_cols).pivot("__label_id", list(wanted)).agg(value)

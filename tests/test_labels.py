@@ -61,3 +61,14 @@ def test_whole_row_groups_use_hash_distinct(spark):
     assert rows(out, "s", T, R) == [e[:3] for e in EXPECTED]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and "Generate" not in plan
+
+
+def test_multi_row_groups_take_first_by_order(spark):
+    data = [
+        ("g", 2, [(T, T, "LATE"), (R, R, "2")]),
+        ("g", 1, [(T, T, None), (T, T, "EARLY")]),
+        ("g", 3, [(R, R, "9")]),
+    ]
+    df = spark.createDataFrame(data, "s string, ord int, labels array<struct<id:string,type:string,value:string>>")
+    out = pivot_labels(df, "labels", WANTED, ["s"], order_by="ord")
+    assert rows(out, "s", T, R) == [("g", "EARLY", "2")]
