@@ -347,6 +347,13 @@ SELECT confirmation_ref, {_base_expr('', 'rate_id', '')} AS rate_id FROM raw""",
 SELECT confirmation_ref, content_source, rate_bucket, rate_access_code_booked, rate_description, gds_commission_text,
   client_client_top_name, {BUCKET} AS new_rate_bucket
 FROM flags""",
+    "rate_bucket_documents": f"""WITH raw AS (
+  SELECT doc_id, lang, source, source AS content_source, lang AS rate_bucket,
+         CAST(NULL AS VARCHAR) AS rate_access_code_booked, text AS rate_description,
+         CAST(NULL AS VARCHAR) AS gds_commission_text, CAST(NULL AS VARCHAR) AS client_client_top_name
+  FROM documents
+), {FLAGS}
+SELECT doc_id, lang, source, {BUCKET} AS new_rate_bucket FROM flags""",
     "sql_view_projection": f"""WITH {FEED}
 SELECT booking_status, hotelhub_booking_ref, confirmation_ref, CAST(nights AS INTEGER) AS nights,
   upper(content_source) AS content_source, date_created_year, date_created_month, date_created_day

@@ -170,6 +170,26 @@ def rate_bucket_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Roles of the rate-bucket table mapped onto the documents table.
+DOCUMENT_ROLES = {
+    "content_source": "source",
+    "rate_bucket": "lang",
+    "rate_access_code_booked": "no_code",
+    "rate_description": "text",
+    "gds_commission_text": "no_commission",
+    "client_client_top_name": "no_client",
+}
+
+
+def rate_bucket_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The domain rule table over whole document texts (four languages)."""
+    docs = inputs.table(spark, sf_dir, "documents").withColumns(
+        {c: F.lit(None).cast("string") for c in ("no_code", "no_commission", "no_client")}
+    )
+    out = classify(docs, RATE_BUCKET_RULES, RATE_BUCKET_DEFAULT, "new_rate_bucket", columns=DOCUMENT_ROLES)
+    return out.select("doc_id", "lang", "source", "new_rate_bucket")
+
+
 def sql_view_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     view = f"hcp_raw_{uuid.uuid4().hex[:8]}"
     _raw(spark, sf_dir).createOrReplaceTempView(view)
@@ -374,6 +394,7 @@ BOOKING_QUERIES = {
     "channel_type": channel_type_query,
     "rate_id": rate_id_query,
     "rate_bucket_rules": rate_bucket_rules,
+    "rate_bucket_documents": rate_bucket_documents,
     "sql_view_projection": sql_view_projection,
     "latest_per_key": latest_per_key_query,
     "latest_per_key_ties": latest_per_key_ties,
