@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 
 KEYS = [
     "rate_counts", "label_pivot", "typed_casts", "parse_compact_dates", "rate_bucket_rules",
-    "base_projection", "dedupe_key_hash", "dwh_mapping",
+    "base_projection", "dedupe_key_hash", "dwh_mapping", "rate_bucket_documents",
 ]
 
 
