@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import mixing, pii
+from ratelake.llm import mixing, neardup, pii
 from ratelake.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest_rows(pii.find_personal_data(table(spark, sf_dir, "documents")))
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
@@ -20,6 +24,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_pii": op3_pii,
+    "op4_near_dedup": op4_near_dedup,
     "op10_mixing": op10_mixing,
 }
 
