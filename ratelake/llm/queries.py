@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import mixing, neardup, pii
+from ratelake.llm import decontaminate, mixing, neardup, pii
 from ratelake.llm.common import table
 
 
@@ -17,6 +17,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest_rows(decontaminate.find_benchmark(docs, items))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
@@ -25,6 +30,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_pii": op3_pii,
     "op4_near_dedup": op4_near_dedup,
+    "op5_decontaminate": op5_decontaminate,
     "op10_mixing": op10_mixing,
 }
 

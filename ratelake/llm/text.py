@@ -141,6 +141,17 @@ def shingles(words: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np
     return mix64(full[pos]), out_off
 
 
+def grams(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the ``k`` words from each position on (document borders not looked at)."""
+    n = len(words) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    acc = np.zeros(n, np.uint64)
+    for j in range(k):
+        acc = acc * _Q + words[j : n + j]
+    return mix64(acc)
+
+
 def map_texts(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text"):
     """A ``mapInArrow`` function that applies ``fn`` slice by slice."""
 
