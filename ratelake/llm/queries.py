@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, mixing, neardup, pii
-from ratelake.llm.common import table
+from ratelake.llm import decontaminate, mixing, neardup, pii, tokenids
+from ratelake.llm.common import scratch, table
+
+
+def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch(spark, "token-ids")
+    tokenids.write_token_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenids.read_token_digests(spark, path)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +36,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_ids": op2_token_ids,
     "op3_pii": op3_pii,
     "op4_near_dedup": op4_near_dedup,
     "op5_decontaminate": op5_decontaminate,
