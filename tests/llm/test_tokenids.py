@@ -69,7 +69,7 @@ def test_files_hold_the_ids(spark):
         want.append((at, r[1], ids))
         at += len(ids)
     assert got == want
-    assert spark.read.parquet(path).count() > 3
+    assert spark.read.parquet(path).count() > 1
 
 
 def test_empty_table(spark):
