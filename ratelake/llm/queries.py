@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, mixing, neardup, pii, tokenids
-from ratelake.llm.common import scratch, table
+from ratelake.llm import decontaminate, langid, mixing, neardup, pii, quality, tokenids
+from ratelake.llm.common import fold, scratch, table
 
 
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +30,20 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest_rows(decontaminate.find_benchmark(docs, items))
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.select("doc_id", "text", "lang"), fold("doc_id", 3) != 1)
+    out = langid.predict(docs, model)
+    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    out = quality.quality_scores(docs, model)
+    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
@@ -40,6 +54,8 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_near_dedup": op4_near_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_language": op6_language,
+    "op8_quality": op8_quality,
     "op10_mixing": op10_mixing,
 }
 

@@ -58,13 +58,14 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0] : off[-1]], off - off[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``limit`` text bytes each (one row at least)."""
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE, rows: int = 2048) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``limit`` text bytes and ``rows`` rows at most (one row at least)."""
     column = batch.column(batch.schema.get_field_index(text))
     _, off = utf8(column)
     i, n = 0, batch.num_rows
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
+        j = min(j, i + rows)
         yield batch.slice(i, j - i)
         i = j
 
