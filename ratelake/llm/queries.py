@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, langid, mixing, neardup, pii, quality, tokenids
+from ratelake.llm import decontaminate, langid, mixing, neardup, pii, quality, tokenids, toxicity
 from ratelake.llm.common import fold, scratch, table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    out = toxicity.toxicity_scores(docs, model)
+    return out.select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "evidence"
+    )
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +59,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_token_ids": op2_token_ids,
     "op3_pii": op3_pii,
     "op4_near_dedup": op4_near_dedup,
