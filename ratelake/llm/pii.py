@@ -26,10 +26,10 @@ revealing terms; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import scratch, staged
+from ratelake.llm.common import staged
 
 #: Fixed: order of the kinds.
 KINDS = ("email", "ip", "card", "phone")
@@ -155,9 +155,24 @@ def revealing_terms(
     return hits.join(revealing, "term").groupBy("doc_id").agg(F.collect_set(F.struct("term", "disclosure")).alias("terms"))
 
 
-def _term_spans(text: Column, terms: Column) -> Column:
-    found = _found(text, TERM, "term", F.lit(True))
-    return F.filter(found, lambda s: F.exists(terms, lambda t: t["term"] == F.lower(s["value"])))
+def _term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
+    """(doc_id, copy, terms): where documents hold their revealing terms.
+
+    Words and the pieces between them become rows and a running sum over one
+    text gives positions, so cost follows the length of the text.
+    """
+    own = texts.join(terms.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "copy"])
+    m = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    pieces = F.arrays_zip(m.alias("m"), F.split("text", TERM, -1).alias("g"))
+    rows = own.select("doc_id", "copy", F.posexplode(pieces).alias("i", "p")).where("p.m IS NOT NULL")
+    upto = Window.partitionBy("doc_id", "copy").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.char_length("p.g") + F.char_length("p.m")).over(upto)
+    rows = rows.select("doc_id", "copy", F.col("p.m").alias("value"), F.lower("p.m").alias("term"), end.alias("end"))
+    flat = terms.select("doc_id", F.explode("terms.term").alias("term"))
+    start = F.col("end") - F.char_length("value")
+    span = F.struct(F.lit("term").alias("kind"), start.alias("start"), "end", "value")
+    found = rows.join(flat, ["doc_id", "term"]).groupBy("doc_id", "copy").agg(F.collect_list(span).alias("terms"))
+    return found.select("doc_id", "copy", F.array_sort("terms", lambda x, y: (x["start"] - y["start"]).cast("int")).alias("terms"))
 
 
 def find_personal_data(
@@ -174,12 +189,8 @@ def find_personal_data(
     stored = base.select("doc_id", "copy", "base", F.when(F.size("base") > 0, F.col("text")).alias("text"))
     stored = staged(stored, "pii-base")
     terms = revealing_terms(docs, doc_id, text, base=stored, threshold=threshold, min_support=min_support)
-    spans = (
-        texts.join(terms, "doc_id")
-        .select("doc_id", "copy", _term_spans(F.col("text"), F.col("terms")).alias("terms"))
-        .groupBy("doc_id", "copy")
-        .agg(F.first("terms").alias("terms"))
-    )
+    terms = staged(terms, "pii-terms")
+    spans = _term_spans(texts, terms)
     out = stored.select("doc_id", "copy", "base").join(staged(spans, "pii-spans"), ["doc_id", "copy"], "left")
     return out.select("doc_id", "base", F.coalesce("terms", F.array().cast(f"array<{_SPAN}>")).alias("terms"))
 
