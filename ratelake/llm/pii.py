@@ -10,9 +10,11 @@ all documents, with ``n`` documents, ``c(e)`` of them holding the value ``e``,
 
 which is 1 when the term implies the value and 0 when it tells nothing. Terms
 over ``threshold`` that stand with the value in at least ``min_support``
-different texts (copies of one text are one piece of evidence) are added as
+contexts (different words before it, and after it) are added as
 spans of kind ``term``: replaced by ``[TERM]`` at or over ``remove_at``, cut
-to their first letter (generalised) below it.
+to their first letter (generalised) below it. Copies and near copies of one
+text repeat its contexts, so they are one piece of evidence: a term also needs
+a new context in every second text that holds it.
 
 Only DataFrame functions are used. Patterns are written without nested
 retries (possessive runs that start where no earlier character of the run
@@ -122,30 +124,31 @@ def revealing_terms(
     n = docs.count()
     values = base.where(F.size("base") > 0).select(
         F.xxhash64(text).alias("copy"),
-        F.col(text).alias("_t"),
+        F.aggregate("base", F.col(text), lambda acc, b: F.replace(acc, b["value"], F.lit(" "))).alias("_t"),
         F.explode(F.array_distinct(F.transform("base", lambda s: F.lower(s["value"])))).alias("value"),
     )
     per_text = values.groupBy("value", "copy").agg(F.count("*").alias("k"))
     common = per_text.groupBy("value").agg(F.sum("k").alias("c_e"), F.count("*").alias("texts")).where(F.col("texts") >= min_support)
     common = staged(common.select("value", "c_e"), "pii-values")
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(TERM), F.lit(0)))
-    pairs = (
-        values.join(common, "value")
-        .select("value", "c_e", "copy", F.explode(words(F.col("_t"))).alias("term"))
-        .groupBy("value", "c_e", "term", "copy")
-        .agg(F.count("*").alias("k"))
-        .groupBy("value", "c_e", "term")
-        .agg(F.sum("k").alias("c_te"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= min_support)
+    # Copies of one text are read once; a word's neighbours are its context there.
+    texts = values.join(common, "value").groupBy("value", "c_e", "copy").agg(F.count("*").alias("k"), F.first("_t").alias("_t"))
+    m, none = F.regexp_extract_all(F.lower("_t"), F.lit(TERM), F.lit(0)), F.array(F.lit(""))
+    around = F.arrays_zip(m.alias("term"), F.concat(none, m).alias("a"), F.slice(F.concat(m, none), 2, 1 << 30).alias("b"))
+    rows = texts.select("value", "c_e", "copy", "k", F.explode(around).alias("w")).where("w.term IS NOT NULL")
+    rows = rows.groupBy("value", "c_e", "copy", "k", F.col("w.term").alias("term")).agg(F.min(F.struct("w.a", "w.b")).alias("w"))
+    pairs = rows.groupBy("value", "c_e", "term").agg(
+        F.sum("k").alias("c_te"), F.count("*").alias("texts"), F.count_distinct("w.a").alias("a"), F.count_distinct("w.b").alias("b")
     )
-    pairs = staged(pairs.drop("texts"), "pii-pairs")
+    contexts = F.least("a", "b")
+    pairs = staged(pairs.where((contexts >= min_support) & (2 * contexts >= F.col("texts"))), "pii-pairs")
+    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(TERM), F.lit(0)))
     terms = pairs.select("term").distinct()
     hits = (
         docs.where(F.col(text).isNotNull())
         .select(F.col(doc_id).alias("doc_id"), F.explode(words(F.col(text))).alias("term"))
         .join(terms, "term", "left_semi")
     )
-    hits = staged(hits, "pii-hits")
+    hits = staged(hits, "pii-hits")  # (document, term) for terms that may reveal something
     seen = hits.groupBy("term").agg(F.count("*").alias("c_t"))
     total = F.lit(float(n))
     pmi = F.log(F.col("c_te") * total / (F.col("c_t") * F.col("c_e")))
@@ -192,7 +195,9 @@ def find_personal_data(
     terms = staged(terms, "pii-terms")
     spans = _term_spans(texts, terms)
     out = stored.select("doc_id", "copy", "base").join(staged(spans, "pii-spans"), ["doc_id", "copy"], "left")
-    return out.select("doc_id", "base", F.coalesce("terms", F.array().cast(f"array<{_SPAN}>")).alias("terms"))
+    inside = lambda t: F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"]))
+    terms = F.filter("terms", lambda t: ~inside(t))
+    return out.select("doc_id", "base", F.coalesce(terms, F.array().cast(f"array<{_SPAN}>")).alias("terms"))
 
 
 def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", remove_at: float = 0.95, **options) -> DataFrame:

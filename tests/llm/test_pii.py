@@ -62,18 +62,20 @@ def test_base_spans(spark):
 
 
 def test_revealing_terms_and_sanitise(spark):
-    rows = [(i, f"Contact Zanzibar today, text number{'x' * i} mail bob@corp.example.com the end") for i in range(5)]
+    rows = [(i, f"Contact {'vwxyz'[i] * 4} Zanzibar {'abcde'[i] * 4} today, text mail bob@corp.example.com the end") for i in range(5)]
     rows += [(100 + i, f"the end of contact today other {'y' * i}") for i in range(60)]
     rows += [(200 + i, "copied unique1 wombat jane@corp.example.com") for i in range(9)]  # one text: one piece of evidence
+    near = "this one long text about zebras goes on and on"
+    rows += [(400 + i, f"{near} {'z' * (i + 3)} amy@corp.example.com") for i in range(8)]  # near copies: the same contexts
     rows += [(300, None), (301, ""), (301, "Zanzibar again")]
     docs = frame(spark, rows, "doc_id int, text string")
     got = {}
     for r in pii.find_personal_data(docs).collect():
         got.setdefault(r.doc_id, []).append([(s.start, s.end, s.value) for s in r.terms])
     for i in range(5):
-        assert (8, 16, "Zanzibar") in got[i][0]
-        assert not any(v in ("the", "end", "today") for _, _, v in got[i][0])
-    assert got[200] == [[]] and got[100] == [[]] and got[300] == [[]]
+        assert (13, 21, "Zanzibar") in got[i][0]
+        assert not any(v in ("the", "end", "today", "bob", "corp") for _, _, v in got[i][0])
+    assert got[400] == [[]] and got[200] == [[]] and got[100] == [[]] and got[300] == [[]]
     assert sorted(got[301]) == [[], [(0, 8, "Zanzibar")]]
     clean = {(r.doc_id, r.text) for r in pii.sanitise(docs).collect()}
     assert not any(t and ("bob@" in t or "Zanzibar" in t) for _, t in clean)
