@@ -13,9 +13,10 @@ Work per group of similar texts stays linear. Documents with equal sets are
 one node. Under each key all nodes are first held against one node of the key
 (two rounds, different choices), pairs are confirmed on full sets, and
 confirmed links joined to components. Only then nodes under one key that are
-still in different components are held against each other, so no pair inside a
-group that already hangs together is ever made, and no link that could join
-two components is left out.
+still in different components are held against each other, and of those only
+nodes whose shingles found in any other such node would suffice. So no pair
+inside a group that already hangs together is made, and no link that could
+join two components is left out.
 
 Defined cases: documents without words or text have an empty set and link with
 nothing (own component); with fewer than 5 words the whole sequence is the one
@@ -38,8 +39,9 @@ from ratelake.llm.text import Words, map_texts, mix64, shingles
 
 VALUES, CHUNKS = 48, 8
 WIDTH = VALUES // CHUNKS
-#: Pairs whose signatures differ in more values cannot reach the similarity (7 standard deviations).
-FAR = 25
+#: Pairs whose signatures differ in so many values do not reach the similarity
+#: (5 standard deviations over the 7.2 values of a pair at 0.85).
+FAR = 21
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 1 << 62, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _rng.integers(0, 1 << 62, VALUES, dtype=np.uint64)
@@ -88,10 +90,12 @@ def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
 
 
 def chunk_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node): every chunk of a signature without each of its values."""
+    """(node, keys): every chunk of a signature without each of its values, 48 keys."""
 
     def run(batches):
         for b in batches:
+            if not b.num_rows:
+                continue
             sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, CHUNKS, WIDTH)
             keys = np.empty((len(sig), CHUNKS, WIDTH), np.uint64)
             for out in range(WIDTH):
@@ -99,14 +103,11 @@ def chunk_keys(nodes: DataFrame) -> DataFrame:
                 weight[:, out] = 0
                 acc = ((sig.astype(np.uint64) + np.uint64(1)) * weight).sum(axis=2, dtype=np.uint64)
                 keys[:, :, out] = mix64(acc ^ _KEY[:, out, out])
-            node = np.repeat(b.column(0).to_numpy(zero_copy_only=False), CHUNKS * WIDTH)
-            for i in range(0, len(node), 1 << 16):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.reshape(-1)[i : i + (1 << 16)].view(np.int64)), pa.array(node[i : i + (1 << 16)])],
-                    names=["key", "node"],
-                )
+            off = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * VALUES)
+            arrays = pa.ListArray.from_arrays(off, pa.array(keys.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([b.column(0), arrays], names=["node", "keys"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "key bigint, node bigint")
+    return nodes.select("node", "sig").mapInArrow(run, "node bigint, keys array<bigint>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
@@ -158,7 +159,7 @@ def near_duplicates(
         F.min("doc_id").alias("node"), F.first("sig").alias("sig")
     )
     nodes = staged(nodes, "dup-nodes")
-    keys = chunk_keys(nodes)
+    keys = chunk_keys(nodes).select("node", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = staged(keys.join(shared, "key"), "dup-members")
     same = full.join(
@@ -166,18 +167,23 @@ def near_duplicates(
     ).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     links, tested = same.where("u != v"), None
     label = None
-    for round_ in range(3):
-        if label is None:
-            rows = members.withColumn("component", F.col("node"))
-        else:
+    for round_ in range(5):
+        rows = members.withColumn("component", F.col("node"))
+        if label is not None:
             rows = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
             split = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
             rows = staged(rows.join(split.select("key"), "key", "left_semi"), "dup-split")
-        if round_ < 2:
-            hub = rows.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(round_))).alias("hub"))
+        if round_ == 2:
+            rows = staged(_able(rows, nodes, docs, percent, doc_id, text, k), "dup-able")
+            members = rows.drop("component")
+        if round_ < 4:
+            # First one node for as many keys as possible, then another one per key:
+            # a node left over meets as many members of its group as it has keys.
+            pick = F.xxhash64("node") if round_ == 0 else F.xxhash64("node", "key", F.lit(round_))
+            hub = rows.groupBy("key").agg(F.min_by(F.struct("node", "component"), pick).alias("hub"))
             pairs = rows.join(hub, "key").where("component != hub.component").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
         else:
-            pairs = _across(rows, nodes)
+            pairs = _across(rows, nodes, percent)
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
@@ -185,7 +191,9 @@ def near_duplicates(
         if pairs.isEmpty():
             if round_ == 0:
                 label = components(links)
-            break
+            if round_ in (0, 4) or rows.isEmpty():
+                break
+            continue
         found = staged(confirm(docs, pairs, percent, doc_id, text, k), f"dup-links{round_}")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = links.unionByName(found)
@@ -195,14 +203,44 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _across(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes under one key but in different components, near by signature."""
-    comps = rows.select("key", "component").distinct()
-    meet = comps.alias("a").join(comps.alias("b"), "key").where("a.component < b.component")
-    meet = meet.select("key", F.col("a.component").alias("p"), F.col("b.component").alias("q"))
-    left = rows.select("key", F.col("component").alias("p"), F.col("node").alias("u"))
-    right = rows.select("key", F.col("component").alias("q"), F.col("node").alias("v"))
-    pairs = meet.join(left, ["key", "p"]).join(right, ["key", "q"]).select("u", "v").distinct()
+def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> DataFrame:
+    """``rows`` of nodes that can still be similar to another one, with bounds.
+
+    A shingle that no other of these nodes holds is in no intersection. What is
+    left of a set bounds all its intersections, which rules out most members of
+    a loose group (copies with edits of their own) before pairs are made.
+    """
+    sets = _full_sets(docs, staged(rows.select("node").distinct(), "dup-wanted"), doc_id, text, k)
+
+    def flat(batches):
+        for b in batches:
+            for node, s in zip(b.column(0).to_pylist(), b.column(1)):
+                s = np.frombuffer(s.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), node)), pa.array(s)], names=["node", "s"])
+
+    held = sets.mapInArrow(flat, "node bigint, s bigint")
+    alone = held.groupBy("s").agg(F.min("node").alias("node"), F.max("node").alias("hi")).where("node = hi")
+    alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
+    size = nodes.select("node", F.col("n_shingles").alias("n")).join(alone, "node", "left")
+    size = size.select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
+    # A document that repeats its id has several sets: no bound for it.
+    size = size.withColumn("most", F.when(F.col("most") < 0, F.col("n")).otherwise(F.col("most")))
+    able = rows.join(size, "node").where(100 * F.col("most") >= percent * F.col("n"))
+    return able.select("key", "node", "component", "n", "most")
+
+
+def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes under one key but in different components, within their
+    bounds and near by signature; each pair under the first key it shares only."""
+    own = chunk_keys(nodes.join(able.select("node").distinct(), "node", "left_semi"))
+    rows = able.join(own, "node")
+    rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.array_position("keys", F.col("key")).cast("int") - 1)).drop("keys")
+    a, b = rows.alias("a"), rows.alias("b")
+    shared = F.least("a.most", "b.most")
+    near = 100 * shared >= percent * (F.col("a.n") + F.col("b.n") - shared)
+    first = ~F.coalesce(F.arrays_overlap("a.before", "b.before"), F.lit(False))
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & near & first)
+    pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
     sig = nodes.select("node", "sig")
     pairs = pairs.join(sig.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(
         sig.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v"
