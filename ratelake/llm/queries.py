@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, langid, mixing, neardup, pii, quality, tokenids, toxicity
+from ratelake.llm import decontaminate, langid, mixing, neardup, pii, quality, tokenids, topk, toxicity
 from ratelake.llm.common import fold, scratch, table
 
 
@@ -53,6 +53,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
@@ -66,9 +70,11 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_language": op6_language,
     "op8_quality": op8_quality,
+    "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
 }
 
 ORACLE = {
+    "op9_top_k": topk.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
 }
