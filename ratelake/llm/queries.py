@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, langid, mixing, neardup, pii, quality, tokenids, topk, toxicity
+from ratelake.llm import decontaminate, katz, langid, mixing, neardup, pii, quality, tokenids, topk, toxicity
 from ratelake.llm.common import fold, scratch, table
 
 
@@ -46,6 +46,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = katz.corpus_scores(table(spark, sf_dir, "documents"), fold("doc_id", 5) != 1)
+    held_out = (fold("doc_id", 5) == 1).alias("held_out")
+    return out.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
@@ -69,6 +75,7 @@ QUERIES = {
     "op4_near_dedup": op4_near_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op6_language": op6_language,
+    "op7_katz": op7_katz,
     "op8_quality": op8_quality,
     "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
