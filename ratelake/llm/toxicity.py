@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 from ratelake.llm.common import staged
 from ratelake.llm.text import NOT_ALNUM, Words, map_texts
 
-K, BLOCK = 15, 64
-#: Terms must pass this many standard errors of the log odds ratio, in this many examples.
-MIN_Z, MIN_DOCS = 4.0, 4
+K, BLOCK = 15, 512
+#: Terms must deviate this far from independence (root of the G statistic), in this many examples.
+MIN_Z, MIN_DOCS = 4.5, 4
 
 
 def _term_counts(words: Words, terms: np.ndarray):
@@ -159,11 +159,11 @@ def _choose_terms(term: np.ndarray, y: np.ndarray, n: np.ndarray, max_terms: int
     c1 = np.bincount(at, y, len(u))
     c0 = np.bincount(at, minlength=len(u)) - c1
     n0, n1 = n
-    a, b, c, d = c1 + 0.5, n1 - c1 + 0.5, c0 + 0.5, n0 - c0 + 0.5
-    z = np.log(a * d / (b * c)) / np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    # A term in one label only has few counts to go by: judge it by that label's count.
-    z = np.where((c0 == 0) | (c1 == 0), np.sign(z) * np.sqrt((c0 + c1) * np.abs(np.log(a * d / (b * c)))), z)
-    good = np.flatnonzero((np.abs(z) >= MIN_Z) & (c0 + c1 >= MIN_DOCS))
+    total, held = n0 + n1, c0 + c1
+    cells = ((c1, held * n1), (c0, held * n0), (n1 - c1, (total - held) * n1), (n0 - c0, (total - held) * n0))
+    g = 2 * sum(o * np.log(np.maximum(o, 1e-300) * total / np.maximum(e, 1e-300)) for o, e in cells)
+    z = np.sqrt(np.maximum(g, 0))
+    good = np.flatnonzero((z >= MIN_Z) & (c0 + c1 >= MIN_DOCS))
     good = good[np.lexsort((u[good], -np.abs(z[good])))][:max_terms]
     return np.sort(u[good])
 
