@@ -9,11 +9,17 @@ from __future__ import annotations
 from bindings import feed_sql as FS
 from ratelake.contracts import BASE_PROJECTION, EXPORT_CONTRACT
 
-DEC = r"'^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$'"
+_ENDS = r"'^[\x00-\x20\x7F]+|[\x00-\x20\x7F]+$'"
 
 
 def lenient_int_sql(x: str, typ: str = "INTEGER") -> str:
-    return f"(CASE WHEN regexp_matches(trim({x}), {DEC}) THEN TRY_CAST(trunc(TRY_CAST(trim({x}) AS DECIMAL(38,10))) AS {typ}) END)"
+    """The digits before the point; what follows it only has to be digits."""
+    t = f"regexp_replace({x}, {_ENDS}, '', 'g')"
+    return (
+        f"(CASE WHEN regexp_full_match({t}, '[+-]?[0-9]+([.][0-9]*)?') "
+        f"THEN TRY_CAST(regexp_extract({t}, '^[+-]?[0-9]+') AS {typ}) "
+        f"WHEN regexp_full_match({t}, '[+-]?[.][0-9]+') THEN 0 END)"
+    )
 
 
 def compact_ts_sql(x: str, n: int) -> str:
@@ -34,17 +40,17 @@ raw AS (
   FROM feed WHERE {lenient_int_sql('created_date')} IS NOT NULL
 )"""
 
-CHANNEL = """CASE
-  WHEN content_source LIKE 'BOOKING%' THEN 'BC' WHEN content_source LIKE 'EAN%' THEN 'EH'
-  WHEN content_source LIKE 'DESIYA%' THEN 'DH' WHEN content_source LIKE 'PREMIER%' THEN 'PI'
-  WHEN content_source LIKE 'CHL%' THEN 'CM' WHEN content_source LIKE 'SABR%' THEN 'S'
-  WHEN content_source LIKE 'AMAD%' THEN 'A' WHEN content_source LIKE 'GALI%' THEN 'G'
-  WHEN content_source LIKE 'APO%' THEN '1V'
-  WHEN content_source LIKE 'HOTELH%' AND gds_shopped_for_rate LIKE 'SABR%' THEN 'S'
-  WHEN content_source LIKE 'HOTELH%' AND gds_shopped_for_rate LIKE 'APO%' THEN '1V'
-  WHEN content_source LIKE 'HOTELH%' AND gds_shopped_for_rate LIKE 'AMAD%' THEN 'A'
-  WHEN content_source LIKE 'HOTELH%' AND gds_shopped_for_rate LIKE 'GALI%' THEN 'G'
-  ELSE 'XX' END"""
+# Prefix of the content source, prefix of the shopped source ('' = any), code;
+# the first row that fits gives the channel.
+CHANNEL_ROWS = [
+    ("BOOKING", "", "BC"), ("EAN", "", "EH"), ("DESIYA", "", "DH"), ("PREMIER", "", "PI"), ("CHL", "", "CM"),
+    ("SABR", "", "S"), ("AMAD", "", "A"), ("GALI", "", "G"), ("APO", "", "1V"),
+    ("HOTELH", "SABR", "S"), ("HOTELH", "APO", "1V"), ("HOTELH", "AMAD", "A"), ("HOTELH", "GALI", "G"),
+]
+_CHANNEL_VALUES = ", ".join(f"({i}, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(CHANNEL_ROWS))
+CHANNEL = f"""coalesce((
+  SELECT arg_min(code, n) FROM (VALUES {_CHANNEL_VALUES}) v(n, head, shopped, code)
+  WHERE starts_with(content_source, head) AND (shopped = '' OR starts_with(gds_shopped_for_rate, shopped))), 'XX')"""
 
 # Classifier inputs as named flags, then the ordered decision.
 FLAGS = """
@@ -309,7 +315,7 @@ SELECT {final_cols} FROM (
 ) WHERE rn = 1"""
 
 
-EDM = {"rate_bucket": "original_rate_bucket", "new_rate_bucket": "rate_bucket"}
+RENAMES = {"rate_bucket": "original_rate_bucket", "new_rate_bucket": "rate_bucket"}
 _WITH_ALL = f"WITH {BOOKINGS},\n{STAR},\n{CASCADE}"
 
 BOOKING_ORACLE: dict[str, str] = {
@@ -323,10 +329,10 @@ SELECT confirmation_ref, {compact_ts_sql('date_in', 2)} AS date_in, {compact_ts_
   {_base_expr('', 'dtext', 'booking_start_dttm')} AS booking_st_tm,
   {_base_expr('', 'dtext', 'lastmodified_datetime')} AS lastmodified_datetime
 FROM raw""",
-    "date_parts": f"""WITH {STAR}
-SELECT fact_hotel_id, CAST(year(effective_date) AS INTEGER) AS effective_date_year,
-  CAST(month(effective_date) AS INTEGER) AS effective_date_month, CAST(day(effective_date) AS INTEGER) AS effective_date_day
-FROM fact_hotel""",
+    "date_parts": """
+SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS order_year, CAST(month(o_orderdate) AS INTEGER) AS order_month,
+  CAST(day(o_orderdate) AS INTEGER) AS order_day
+FROM orders""",
     "typed_casts": f"""WITH {FEED}
 SELECT confirmation_ref,
   TRY_CAST(rateperday_amount AS DOUBLE) AS rateperday_amount, TRY_CAST(rateperday_gbp AS DOUBLE) AS rateperday_gbp,
@@ -386,15 +392,43 @@ FROM resolved""",
     "snapshot_delta": f"""{_WITH_ALL},
 {yesterday_sql('resolved')}
 {delta_sql('resolved', 'yest')}""",
-    "edm_export": f"""{_WITH_ALL},
+    "consumer_export": f"""{_WITH_ALL},
 {yesterday_sql('resolved')}
-{delta_sql('resolved', 'yest', EDM)}""",
+{delta_sql('resolved', 'yest', RENAMES)}""",
     "booking_pipeline": f"""{_WITH_ALL}
-{delta_sql('resolved', None, EDM)}""",
+{delta_sql('resolved', None, RENAMES)}""",
     "merge_schema_scan": """
 SELECT *, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS o_priority_rank
 FROM orders""",
     "table_sink_roundtrip": "SELECT * FROM customer",
     "staged_overwrite": "SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal * 2, 2) AS s_acctbal FROM supplier",
     "write_audit": "SELECT count(*) AS rows_written FROM lineitem",
+    # Bookings that differ only in which column is NULL (see ``match_null_rows``).
+    "match_null_rows": """
+WITH c2 AS (SELECT *, CASE WHEN c_custkey % 3 = 0 THEN 'P' || CAST(c_custkey % 50 AS VARCHAR) END AS mk FROM customer),
+b AS (
+  SELECT 'X' || CAST(c_custkey AS VARCHAR) AS ref, NULL::VARCHAR AS confirmation_ref, mk FROM c2
+  UNION SELECT NULL, 'X' || CAST(c_custkey AS VARCHAR), mk FROM c2),
+m AS (SELECT CAST(s_suppkey AS DECIMAL(10,0)) AS fact_hotel_id, 'P' || CAST(s_suppkey % 50 AS VARCHAR) AS mk, f AS emulation_flag
+      FROM supplier, (VALUES ('Y'), ('N')) v(f)),
+t AS (SELECT b.*, m.fact_hotel_id, m.emulation_flag, 2 AS match_level FROM b JOIN m ON b.mk = m.mk),
+a AS (SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY fact_hotel_id
+        ORDER BY confirmation_ref DESC NULLS LAST, ref DESC NULLS LAST, emulation_flag) AS n FROM t) WHERE n = 1),
+u AS (SELECT * EXCLUDE (n), CAST(-1 AS DECIMAL(10,0)) AS fact_hotel_id, 'N' AS emulation_flag, -1 AS match_level FROM (
+        SELECT *, row_number() OVER (PARTITION BY ref ORDER BY confirmation_ref DESC NULLS LAST, ref DESC NULLS LAST) AS n
+        FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.ref = b.ref)) WHERE n = 1),
+r AS (SELECT *, rank() OVER (PARTITION BY ref ORDER BY fact_hotel_id DESC, match_level DESC) AS n
+      FROM (SELECT * FROM a UNION ALL SELECT * FROM u))
+SELECT ref, confirmation_ref, mk AS pnr_mk, fact_hotel_id, emulation_flag, match_level FROM r WHERE n = 1""",
+    "binary_text_scan": """
+SELECT c_custkey, c_name AS name_text, c_mktsegment AS segment_text FROM customer""",
+    "load_date_default": f"""{_WITH_ALL}
+SELECT pnr_mk, confirmation_ref, CAST(0 AS INTEGER) AS days_since_load FROM ({delta_sql('resolved', None)})""",
+    "booking_two_days": f"""{_WITH_ALL},
+{yesterday_sql('resolved')}
+{delta_sql('resolved', 'yest', RENAMES)}""",
+    "stage_audit": f"""{_WITH_ALL}
+SELECT 'base' AS stage, count(*) AS rows FROM latest UNION ALL SELECT 'keyed', count(*) FROM keyed
+UNION ALL SELECT 'mapping', count(*) FROM mapping UNION ALL SELECT 'matched', count(*) FROM resolved
+UNION ALL SELECT 'raw', count(*) FROM raw""",
 }

@@ -15,19 +15,18 @@ from ratelake.functions.rules import RATE_BUCKET_DEFAULT, RATE_BUCKET_RULES, cha
 from ratelake.functions.text import normalise_id
 from ratelake.operators.dedupe import any_per_key, latest_per_key
 from ratelake.operators.delta import snapshot_delta
-from ratelake.operators.export import EDM_RENAMES, renamed_for_consumer, to_contract
+from ratelake.operators.export import CONSUMER_RENAMES, renamed_for_consumer, to_contract
 from ratelake.operators.match import match_tiers, resolve_matches
 from ratelake.plans import bookings as B
 from ratelake.session import scratch_path
 from ratelake.sources.feeds import compact_date_partition_parts, drop_bad_rows, rename_columns, schema_from_json
 from ratelake.sources.parquet import read_parquet
 from ratelake.sources.sinks import (
-    count_written,
-    lit_count_frame,
     materialize,
     save_as_table,
     staged_overwrite,
     write_parquet,
+    written_rows,
 )
 from ratelake.contracts import FEED_RENAMES
 
@@ -106,9 +105,9 @@ def parse_compact_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def date_parts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = inputs.star_schema(spark, sf_dir)["fact_hotel"]
-    y, m, d = date_parts("effective_date")
-    return fact.select("fact_hotel_id", y.alias("effective_date_year"), m.alias("effective_date_month"), d.alias("effective_date_day"))
+    y, m, d = date_parts("o_orderdate")
+    orders = inputs.table(spark, sf_dir, "orders")
+    return orders.select("o_orderkey", y.alias("order_year"), m.alias("order_month"), d.alias("order_day"))
 
 
 _TYPED = {
@@ -191,7 +190,7 @@ def rate_bucket_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_view_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    view = f"hcp_raw_{uuid.uuid4().hex[:8]}"
+    view = f"raw_feed_{uuid.uuid4().hex[:8]}"
     _raw(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(
         f"""
@@ -313,12 +312,12 @@ def snapshot_delta_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot(spark, sf_dir)
 
 
-def edm_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+def consumer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish via a staging path, then the consumer copy with renamed columns."""
     root = scratch_path(spark, "publish")
     published = staged_overwrite(snapshot(spark, sf_dir), f"{root}/snapshot", f"{root}/staging")
-    write_parquet(renamed_for_consumer(published, EDM_RENAMES), f"{root}/edm")
-    return spark.read.parquet(f"{root}/edm")
+    write_parquet(renamed_for_consumer(published, CONSUMER_RENAMES), f"{root}/consumer")
+    return spark.read.parquet(f"{root}/consumer")
 
 
 # -- sources and sinks -------------------------------------------------------------
@@ -354,33 +353,101 @@ def write_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = inputs.table(spark, sf_dir, "lineitem")
     path = scratch_path(spark, "lineitem_by_flag")
     write_parquet(li, path, partition_by=["l_returnflag", "l_linestatus"])
-    return lit_count_frame(spark, "rows_written", count_written(spark, path))
-
+    return written_rows(spark, path)
 
-def booking_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ratelake.plans.bookings import run_booking_pipeline
 
-    feed = inputs.booking_feed(spark, sf_dir)
-    root = scratch_path(spark, "pipeline")
-    feed.write.mode("overwrite").csv(
+def _pipeline_inputs(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """The feed as text files and the star schema as Parquet under ``root``."""
+    inputs.booking_feed(spark, sf_dir).write.mode("overwrite").csv(
         f"{root}/incoming", sep="\t", header=True, nullValue="\\N",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
-    star = inputs.star_schema(spark, sf_dir)
     star_paths = {}
-    for name, df in star.items():
+    for name, df in inputs.star_schema(spark, sf_dir).items():
         star_paths[name] = f"{root}/dwh/{name}"
         write_parquet(df, star_paths[name])
-    return run_booking_pipeline(
-        spark,
-        feed_paths=[f"{root}/incoming/*.csv"],
-        feed_columns=FS.FEED_NAMES,
-        star_paths=star_paths,
-        root=f"{root}/stages",
-        run_date=RUN_DATE,
-        facts_from=FACTS_FROM,
-        tables={"keyed": f"hcp_txns_new_{uuid.uuid4().hex[:8]}", "edm": f"hcp_txns_to_dwh_{uuid.uuid4().hex[:8]}"},
+    return star_paths
+
+
+def _run_pipeline(spark: SparkSession, root: str, star_paths: dict[str, str], **options) -> DataFrame:
+    return B.run_booking_pipeline(
+        spark, feed_paths=[f"{root}/incoming/*.csv"], star_paths=star_paths, root=f"{root}/stages",
+        facts_from=FACTS_FROM, **{"feed_columns": FS.FEED_NAMES, "run_date": RUN_DATE, **options},
+    )
+
+
+def booking_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First run: nothing published yet."""
+    root = scratch_path(spark, "pipeline")
+    tag = uuid.uuid4().hex[:8]
+    tables = {"keyed": f"keyed_bookings_{tag}", "consumer": f"consumer_bookings_{tag}"}
+    return _run_pipeline(spark, root, _pipeline_inputs(spark, sf_dir, root), tables=tables)
+
+
+def booking_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run on what an earlier day published, tables included.
+
+    The feed comes with its schema document. Day one publishes; what it
+    published is then set to yesterday's state, and day two finds it by
+    default at the publish path and replaces it.
+    """
+    root = scratch_path(spark, "two_days")
+    tag = uuid.uuid4().hex[:8]
+    options = {
+        "feed_columns": B.feed_schema(FS.FEED_NAMES).json(),
+        "tables": {"published": f"published_bookings_{tag}", "staging": f"staged_bookings_{tag}"},
+    }
+    star_paths = _pipeline_inputs(spark, sf_dir, root)
+    _run_pipeline(spark, root, star_paths, run_date=YESTERDAY, **options)
+    today = spark.read.parquet(f"{root}/stages/matched")
+    staged_overwrite(yesterday_snapshot(today), f"{root}/stages/published", f"{root}/yesterday")
+    return _run_pipeline(spark, root, star_paths, **options)
+
+
+def stage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts the pipeline stores for its stages (those before publishing)."""
+    root = scratch_path(spark, "audited")
+    _run_pipeline(spark, root, _pipeline_inputs(spark, sf_dir, root))
+    audit = spark.read.parquet(f"{root}/stages/audit")
+    return audit.where(F.col("stage").isin("raw", "base", "keyed", "mapping", "matched")).select("stage", "rows")
+
+
+def load_date_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot delta without a run date: rows are loaded on the current date."""
+    today = _staged(resolved(spark, sf_dir), "matched")
+    out = snapshot_delta(today, yesterday_snapshot(today).limit(0))
+    days = F.date_diff(F.current_date(), F.col("dl_last_modified_date"))
+    return out.select("pnr_mk", "confirmation_ref", days.alias("days_since_load"))
+
+
+def match_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bookings equal but for the column that is NULL, and facts with two mapping rows."""
+    c = inputs.table(spark, sf_dir, "customer")
+    name = F.concat(F.lit("X"), F.col("c_custkey").cast("string"))
+    mk = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("P"), (F.col("c_custkey") % 50).cast("string")))
+    none = F.lit(None).cast("string")
+    sides = F.explode(F.array(F.struct(name.alias("ref"), none.alias("confirmation_ref")), F.struct(none.alias("ref"), name.alias("confirmation_ref"))))
+    rows = c.select(sides.alias("s"), mk.alias("pnr_mk")).select("s.*", "pnr_mk").withColumns(
+        {"full_mk": none, "prop_mk": none, "client_booking_channel": none, "changed": F.lit(1)}
+    )
+    supplier = inputs.table(spark, sf_dir, "supplier")
+    facts = supplier.select(
+        F.col("s_suppkey").cast("decimal(10,0)").alias("fact_hotel_id"),
+        F.concat(F.lit("P"), (F.col("s_suppkey") % 50).cast("string")).alias("pnr_mk"),
+        F.explode(F.array(F.lit("Y"), F.lit("N"))).alias("emulation_flag"),
+    ).withColumns({"full_mk": none, "prop_mk": none, "traveler_guid": F.lit("G"), "harp_key": F.lit("H")})
+    out = resolve_matches(rows, facts, ref="ref", order=["changed"], tie_break=[("confirmation_ref", "desc"), ("ref", "desc")])
+    return out.select("ref", "confirmation_ref", "pnr_mk", "fact_hotel_id", "emulation_flag", "match_level")
+
+
+def binary_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text stored as plain BINARY columns reads as strings."""
+    c = inputs.table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "binary_text")
+    write_parquet(
+        c.select("c_custkey", F.col("c_name").cast("binary").alias("name_text"), F.col("c_mktsegment").cast("binary").alias("segment_text")), path
     )
+    return read_parquet(spark, path, binary_as_string=True)
 
 
 BOOKING_QUERIES = {
@@ -405,10 +472,15 @@ BOOKING_QUERIES = {
     "match_cascade": match_cascade,
     "match_resolve": match_resolve,
     "snapshot_delta": snapshot_delta_query,
-    "edm_export": edm_export,
+    "consumer_export": consumer_export,
     "merge_schema_scan": merge_schema_scan,
     "table_sink_roundtrip": table_sink_roundtrip,
     "staged_overwrite": staged_overwrite_query,
     "write_audit": write_audit,
     "booking_pipeline": booking_pipeline,
+    "booking_two_days": booking_two_days,
+    "stage_audit": stage_audit,
+    "load_date_default": load_date_default,
+    "match_null_rows": match_null_rows,
+    "binary_text_scan": binary_text_scan,
 }

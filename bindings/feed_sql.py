@@ -49,7 +49,7 @@ strftime(o_orderdate + to_hours(30), '%y%m%d %H:%M:%S') AS later_txt
 
 _AMOUNT = "CAST(CAST(floor(tp) AS BIGINT) % 997 AS STRING) || '.' || CAST(k % 100 AS STRING)"
 _INT_TEXTS = lambda shift: pick(
-    f"k + {shift}", ["@k100", "@k100.7", "@neg", ".5", "1e3", "99999999999", "", "abc"]
+    f"k + {shift}", ["@k100", "@k100.7", "@neg", ".5", "1e3", "99999999999", "", "abc", "0.99999999999", "12.99999999999", "\t12", "-.5", "7.x", "."]
 )
 
 

@@ -12,14 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.plans.rates import LABELS, RATE_TYPE, SORTED_RANK
-from ratelake.sources.parquet import spread_if_narrow
 
 LABEL_ARRAY = "array<struct<id:string,type:string,value:string>>"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table; spread over the cluster when stored as a single split."""
-    return spread_if_narrow(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A test table as stored."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _label(label_id: Column | str | None, label_type: str, value: Column | str | None) -> Column:

@@ -73,7 +73,7 @@ counts AS (
 
 ORACLE: dict[str, str] = {
     "scan_pruned_schema": """
-SELECT l_orderkey, l_partkey, l_quantity, l_returnflag, l_shipdate FROM lineitem WHERE l_quantity > 25""",
+SELECT l_orderkey, l_partkey, l_quantity, l_returnflag, l_shipdate FROM lineitem""",
     "lookup_left_default": f"""
 WITH {SEARCHES}
 SELECT s.year, s.month, s.day, s.res_sessionID, s.hotel_id, s.id AS rate_id,
@@ -91,6 +91,19 @@ grp AS (SELECT DISTINCT year, month, day, res_sessionID, hotel_id, id, labels FR
 SELECT year, month, day, res_sessionID, hotel_id, id AS rate_id,
        {RATE_TYPE_VALUE} AS CLIENT_RATE_TYPE, {RANK_VALUE} AS CLIENT_RATE_SORTED_RANK
 FROM grp""",
+    "label_pivot_sessions": f"""
+WITH {SEARCHES},
+e AS (
+  SELECT res_sessionID, concat_ws('|', id, hotel_id, array_to_string(list_transform(labels,
+           lambda l: concat_ws(':', coalesce(l.id, '~'), coalesce(l.type, '~'), coalesce(l.value, '~'))), '|')) AS place,
+         unnest(labels) AS l, generate_subscripts(labels, 1) AS pos, len(labels) AS n
+  FROM searches),
+f AS (SELECT *, row_number() OVER (PARTITION BY res_sessionID, l.id ORDER BY l.value IS NULL, place, pos) AS rn FROM e
+      WHERE (l.id IS NULL AND n = 1) OR (l.id = l.type AND l.id IN ('CLIENT_RATE_TYPE', 'CLIENT_RATE_SORTED_RANK')))
+SELECT res_sessionID,
+       max(l.value) FILTER (rn = 1 AND l.id = 'CLIENT_RATE_TYPE') AS CLIENT_RATE_TYPE,
+       max(l.value) FILTER (rn = 1 AND l.id = 'CLIENT_RATE_SORTED_RANK') AS CLIENT_RATE_SORTED_RANK
+FROM f GROUP BY res_sessionID""",
     "top_n_flag": f"""
 WITH {SEARCHES}, {PIVOTED.strip().rstrip(',')}
 SELECT year, month, day, res_sessionID, rate_id, hotel_id, new_rate_bucket, CLIENT_RATE_TYPE, CLIENT_RATE_SORTED_RANK,

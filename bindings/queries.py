@@ -15,7 +15,7 @@ from ratelake.operators.lookup import lookup_with_default
 from ratelake.plans import rates
 from ratelake.session import scratch_path
 from ratelake.sources.parquet import read_parquet
-from ratelake.sources.sinks import write_parquet, write_single_csv
+from ratelake.sources.sinks import write_csv, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,8 +31,7 @@ LINEITEM_PRUNED = T.StructType(
 
 
 def scan_pruned_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = read_parquet(spark, f"{sf_dir}/lineitem.parquet", schema=LINEITEM_PRUNED, binary_as_string=True)
-    return df.filter(F.col("l_quantity") > 25)
+    return read_parquet(spark, f"{sf_dir}/lineitem.parquet", schema=LINEITEM_PRUNED)
 
 
 def lookup_left_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,10 +58,17 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = inputs.search_log(spark, sf_dir)
     groups = [*rates.DAY_COLS, "res_sessionID", "hotel_id", "id", rates.LABELS]
-    p = pivot_labels(s, rates.LABELS, rates.PIVOT_LABELS, groups)
+    p = pivot_labels(s, rates.LABELS, rates.PIVOT_LABELS, groups, order_by="id")
     return p.drop(rates.LABELS).withColumnRenamed("id", "rate_id")
 
 
+def label_pivot_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label pivot with groups of several rows: first values of a whole session."""
+    s = inputs.search_log(spark, sf_dir)
+    s = s.withColumn("place", F.concat_ws("|", "id", "hotel_id", F.coalesce(_labels_text(rates.LABELS), F.lit("~"))))
+    return pivot_labels(s, rates.LABELS, rates.PIVOT_LABELS, ["res_sessionID"], order_by="place")
+
+
 def top_n_flag_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = rates.distinct_responses(inputs.search_log(spark, sf_dir), inputs.rate_lookup(spark, sf_dir))
     p = pivot_labels_per_row(d, rates.LABELS, rates.PIVOT_LABELS).drop(rates.LABELS)
@@ -80,7 +86,7 @@ def rate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_summary_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = rate_summary(spark, sf_dir)
     path = scratch_path(spark, "rate_summary_csv")
-    write_single_csv(summary, path, order_by=rates.SUMMARY_KEYS)
+    write_csv(summary, path, order_by=rates.SUMMARY_KEYS)
     return spark.read.csv(path, header=True, schema=summary.schema)
 
 
@@ -113,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "lookup_left_default": lookup_left_default,
     "distinct_rows": distinct_rows,
     "label_pivot": label_pivot,
+    "label_pivot_sessions": label_pivot_sessions,
     "top_n_flag": top_n_flag_query,
     "rate_counts": rate_counts,
     "rate_summary": rate_summary,

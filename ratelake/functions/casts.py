@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: plain decimal number text accepted by the legacy integer cast
-# (optional sign, digits with optional fraction, or a bare fraction).
-DECIMAL_TEXT = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)$"
+# Fixed value: characters the legacy casts trim from both ends (ASCII control
+# characters and space).
+TRIMMED = "".join(map(chr, [*range(0x00, 0x21), 0x7F]))
+DIGITS = "0123456789"
 
 
 def _col(c: Column | str) -> Column:
@@ -22,9 +23,19 @@ def _col(c: Column | str) -> Column:
 
 
 def _lenient_integral(c: Column | str, target: str) -> Column:
-    text = F.trim(_col(c).cast("string"))
-    truncated = text.try_cast("decimal(38,10)").try_cast(target)
-    return F.when(text.rlike(DECIMAL_TEXT), truncated)
+    # The text before the point is the result; the fraction only has to be
+    # digits (it is never rounded into the result, however long it is).
+    text = F.btrim(_col(c).cast("string"), F.lit(TRIMMED))
+    point = F.instr(text, ".")
+    whole = F.substring_index(text, ".", 1)
+    fraction = F.substr(text, point + 1)
+    bare = whole.isin("", "+", "-")
+    return (
+        F.when(point == 0, text.try_cast(target))
+        .when(F.length(F.translate(fraction, DIGITS, "")) > 0, None)
+        .when(bare, F.when(F.length(fraction) > 0, F.lit(0).cast(target)))
+        .otherwise(whole.try_cast(target))
+    )
 
 
 def lenient_int(c: Column | str) -> Column:

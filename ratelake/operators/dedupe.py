@@ -1,11 +1,14 @@
 """Latest row per key: ``row_number`` (one row) and ``rank`` (ties kept) forms.
 
-Both are one window function partitioned by the key and filtered to the top,
-a shape Catalyst plans as a *partial* ``WindowGroupLimit`` before the shuffle
-and a final one after it. Every map task forwards at most its own top row
-(or its own tied top rows) per key, so a key holding a third of the input —
-typically the NULL key, which SQL treats as one group — reaches its reducer
-as one row per map task, not as a third of the data. The input is read once.
+One row per key is a window filtered to the top, a shape Catalyst plans as a
+*partial* ``WindowGroupLimit`` before the shuffle and a final one after it.
+Every map task forwards at most its own top row per key, so a key holding a
+third of the input — typically the NULL key, which SQL treats as one group —
+reaches its reducer as one row per map task, not as a third of the data.
+
+With ties kept, a hot key may have very many first rows. The winning order
+values come from that same top-1 window; all rows that have them come back by
+a null-safe equi-join, whose hot partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -61,9 +64,17 @@ def latest_per_key(
         out = df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1)
         return out if rank_column else out.drop(rn)
 
-    w = Window.partitionBy(*keys).orderBy(*_sort_cols(parts))
-    out = df.withColumn(rn, F.rank().over(w)).filter(F.col(rn) == 1)
-    return out if rank_column else out.drop(rn)
+    # The winning order values per key (one row, limited before the shuffle),
+    # then every row that has them, by a null-safe equi-join.
+    named = [(f"__o{i}", c, desc) for i, (c, desc) in enumerate(parts)]
+    rows = df.select("*", *[c.alias(n) for n, c, _ in named])
+    w = Window.partitionBy(*keys).orderBy(*_sort_cols([(F.col(n), desc) for n, _, desc in named]))
+    tie = [*keys, *[n for n, _, _ in named]]
+    best = rows.select(*tie).withColumn("__first", F.row_number().over(w)).filter("__first = 1")
+    best = best.select(*[F.col(c).alias(f"__b{i}") for i, c in enumerate(tie)])
+    same = [F.col(c).eqNullSafe(F.col(f"__b{i}")) for i, c in enumerate(tie)]
+    out = rows.join(best, same, "left_semi").select(df.columns)
+    return out.withColumn(rank_column, F.lit(1)) if rank_column else out
 
 
 def any_per_key(

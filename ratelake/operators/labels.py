@@ -44,20 +44,15 @@ def pivot_labels(
     labels: str,
     wanted: Sequence[str],
     group_cols: Sequence[str],
-    order_by: str | None = None,
+    order_by: str,
 ) -> DataFrame:
     """General label pivot: explode, keep wanted labels, pivot by label id.
 
     Output: ``group_cols`` + one column per wanted id holding the first
-    non-NULL value (values are listed, so the pivot needs no distinct job).
-
-    When the groups are whole rows (``group_cols`` are all the columns), a
-    group is one distinct row: the pivot is then a hash-aggregated distinct
-    followed by the per-row form, instead of a sort-based aggregate over the
-    exploded labels.
+    non-NULL value by ``order_by``, then by place in the array (values are
+    listed, so the pivot needs no distinct job). Where every row is its own
+    group, :func:`pivot_labels_per_row` gives the same without a shuffle.
     """
-    if set(group_cols) == set(df.columns):
-        return pivot_labels_per_row(df.select(*group_cols).distinct(), labels, wanted)
     exploded = (
         df.select("*", F.posexplode(F.col(labels)).alias("__pos", "__label"))
         .withColumn("__n_labels", F.size(F.col(labels)))
@@ -68,10 +63,7 @@ def pivot_labels(
         .withColumn("__label_id", F.col("__label.id"))
         .withColumn("__label_value", F.col("__label.value"))
     )
-    if order_by is None:
-        value = F.first("__label_value", ignorenulls=True)
-    else:
-        # min_by skips rows whose ordering is NULL: NULL values never win.
-        rank = F.when(F.col("__label_value").isNotNull(), F.struct(F.col(order_by), F.col("__pos")))
-        value = F.min_by("__label_value", rank)
+    # min_by skips rows whose ordering is NULL: NULL values never win.
+    rank = F.when(F.col("__label_value").isNotNull(), F.struct(F.col(order_by), F.col("__pos")))
+    value = F.min_by("__label_value", rank)
     return exploded.groupBy(*group_cols).pivot("__label_id", list(wanted)).agg(value)

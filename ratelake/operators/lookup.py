@@ -1,53 +1,51 @@
-"""Lookup joins and the size check that guards every broadcast."""
+"""Lookup joins.
+
+No hint is given: Spark broadcasts a side whose estimated size is under
+``spark.sql.autoBroadcastJoinThreshold``, and AQE turns a sort-merge join into
+a broadcast when a side's measured size is under its own threshold; beyond
+either bound the join stays a shuffle join.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default: no hint. Spark's planner broadcasts a side whose estimated size
-# (file statistics) is under spark.sql.autoBroadcastJoinThreshold, and AQE
-# switches a sort-merge join to a broadcast at run time when the measured
-# shuffle output of a side is under
-# spark.sql.adaptive.autoBroadcastJoinThreshold; beyond either bound the join
-# stays a shuffle join. Both are size checks with a fallback.
-DEFAULT_BROADCAST_MAX_ROWS: int | None = None
-
-
-def fits_in(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (runs one job).
-
-    Meant for sides expected to be small (dimensions, lookups): each input
-    partition contributes at most ``max_rows + 1`` rows to the check.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows.
-
-    ``max_rows=None`` leaves the choice to the planner and AQE (see above).
-    """
-    if max_rows is not None and fits_in(df, max_rows):
-        return F.broadcast(df)
-    return df
-
-
 def lookup_with_default(
     df: DataFrame,
     lookup: DataFrame,
     on: str | Sequence[str],
     defaults: Mapping[str, object],
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left join a lookup; a miss (or a NULL value) takes the default.
 
     Lookup rows repeating a key multiply the matching rows, as a left join
-    does. The lookup is broadcast only after its row count is checked.
+    does.
     """
     keys = [on] if isinstance(on, str) else list(on)
     wanted = lookup.select(*keys, *defaults.keys())
-    joined = df.join(maybe_broadcast(wanted, broadcast_max_rows), on=keys, how="left")
+    joined = df.join(wanted, on=keys, how="left")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+
+
+@dataclass(frozen=True)
+class Dimension:
+    """What a fact takes from a dimension: key (same name on both sides), columns
+    (name there → name here), rows that count, and the join type."""
+
+    key: str
+    columns: Mapping[str, str]
+    keep: Callable[[], Column] | None = None
+    how: str = "inner"
+
+
+def star_join(fact: DataFrame, tables: Mapping[str, DataFrame], dimensions: Mapping[str, Dimension]) -> DataFrame:
+    """The fact with every dimension's columns, joined in the order given."""
+    for name, dim in dimensions.items():
+        side = tables[name] if dim.keep is None else tables[name].filter(dim.keep())
+        side = side.select(dim.key, *[F.col(c).alias(n) for c, n in dim.columns.items()])
+        fact = fact.join(side, on=dim.key, how=dim.how)
+    return fact

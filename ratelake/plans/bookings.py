@@ -9,6 +9,7 @@ stages; every function below is also usable on its own, on DataFrames.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,12 +33,13 @@ from ratelake.functions.rules import (
 )
 from ratelake.functions.text import normalise_id
 from ratelake.operators.dedupe import OrderSpec, latest_per_key
-from ratelake.operators.lookup import maybe_broadcast
+from ratelake.operators.lookup import Dimension, star_join
 from ratelake.sources.feeds import (
     compact_date_partition_parts,
     drop_bad_rows,
     read_delimited_feed,
     rename_columns,
+    schema_from_json,
 )
 
 # Booking statuses kept for matching; fact mapping filters.
@@ -46,7 +48,6 @@ LIVE_SUPPLIER_DATES = ["2000-01-01", "2999-12-31"]
 FACT_START_FROM = "2016-01-01"
 KEYED_ROW_NUM = 9999
 EFFECTIVE_PARTS = ["effective_date_year", "effective_date_month", "effective_date_day"]
-DIM_BROADCAST_MAX_ROWS: int | None = None  # planner + AQE decide (see operators.lookup)
 
 DEFAULT_BOOKING_TIE_BREAK: list[OrderSpec] = [("confirmation_ref", "desc"), ("sessionid", "desc")]
 
@@ -125,6 +126,20 @@ def keyed_bookings(bookings: DataFrame) -> DataFrame:
     return latest.withColumn("row_num", F.lit(KEYED_ROW_NUM))
 
 
+# What the mapping takes from each dimension (columns by their name there).
+MAPPING_FACT = {
+    **{c: c for c in ("fact_hotel_id", "start_date", "end_date", "effective_date", "dim_booking_id", "dim_supplier_id")},
+    "dim_traveler_profile_id": "dim_traveler_profile_id",
+    "issuing_country_id": "dim_location_id",
+}
+MAPPING_DIMENSIONS = {
+    "dim_booking": Dimension("dim_booking_id", {"booking_locator": "booking_locator"}, lambda: F.col("booking_locator").isNotNull()),
+    "dim_supplier": Dimension("dim_supplier_id", {"harp_key": "harp_key"}, lambda: F.col("discontinue_date").isin(LIVE_SUPPLIER_DATES)),
+    "dim_traveler_profile": Dimension("dim_traveler_profile_id", {"traveler_guid": "traveler_guid", "country_code": "trav_country"}),
+    "dim_location": Dimension("dim_location_id", {"country_code": "loc_country"}, how="left"),
+}
+
+
 def dwh_mapping(
     fact_hotel: DataFrame,
     dim_booking: DataFrame,
@@ -132,59 +147,17 @@ def dwh_mapping(
     dim_traveler_profile: DataFrame,
     dim_location: DataFrame,
     start_from: str = FACT_START_FROM,
-    dim_broadcast_max_rows: int | None = DIM_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
-    """Fact → dimensions, match keys, latest fact per full key (ties kept).
-
-    Joins are plain equi-joins: Spark broadcasts a dimension only under its
-    size thresholds (static statistics, then AQE's measured sizes) and keeps a
-    shuffle join beyond them. ``dim_broadcast_max_rows`` adds an explicit,
-    row-count-checked broadcast of the supplier, traveller and location
-    dimensions; the booking dimension (one row per fact) is never hinted.
-    """
-    fact = fact_hotel.filter(F.col("start_date") >= F.lit(start_from).cast("timestamp_ntz")).select(
-        "fact_hotel_id",
-        "start_date",
-        "end_date",
-        "effective_date",
-        "dim_booking_id",
-        "dim_supplier_id",
-        "dim_traveler_profile_id",
-        F.col("issuing_country_id").alias("dim_location_id"),
-    )
-    bookings = dim_booking.filter(F.col("booking_locator").isNotNull()).select("dim_booking_id", "booking_locator")
-    suppliers = dim_supplier.filter(F.col("discontinue_date").isin(LIVE_SUPPLIER_DATES)).select(
-        "harp_key", "dim_supplier_id"
-    )
-    travellers = dim_traveler_profile.select(
-        "dim_traveler_profile_id", "traveler_guid", F.col("country_code").alias("trav_country")
-    )
-    locations = dim_location.select("dim_location_id", F.col("country_code").alias("loc_country"))
-
-    dwh = (
-        fact.join(bookings, on="dim_booking_id")
-        .join(maybe_broadcast(suppliers, dim_broadcast_max_rows), on="dim_supplier_id")
-        .join(maybe_broadcast(travellers, dim_broadcast_max_rows), on="dim_traveler_profile_id")
-        .join(maybe_broadcast(locations, dim_broadcast_max_rows), on="dim_location_id", how="left")
-        .select(
-            "fact_hotel_id",
-            "start_date",
-            "end_date",
-            "effective_date",
-            "booking_locator",
-            "harp_key",
-            "traveler_guid",
-            "trav_country",
-            "loc_country",
-            emulation_flag("trav_country", "loc_country").alias("emulation_flag"),
-        )
-    )
-    dwh = dwh.withColumns(match_keys("start_date", "end_date", "booking_locator", "harp_key", "traveler_guid"))
-    latest = latest_per_key(
-        dwh, ["full_mk"], [("effective_date", "desc"), ("fact_hotel_id", "desc")], ties="all"
-    ).distinct()
-    y, m, d = date_parts("effective_date")
-    return latest.withColumns({EFFECTIVE_PARTS[0]: y, EFFECTIVE_PARTS[1]: m, EFFECTIVE_PARTS[2]: d})
+    """Fact → dimensions, match keys, latest fact per full key (ties kept)."""
+    dims = dict(zip(MAPPING_DIMENSIONS, (dim_booking, dim_supplier, dim_traveler_profile, dim_location)))
+    fact = fact_hotel.filter(F.col("start_date") >= F.lit(start_from).cast("timestamp_ntz"))
+    fact = fact.select(*[F.col(c).alias(n) for c, n in MAPPING_FACT.items()])
+    wide = star_join(fact, dims, MAPPING_DIMENSIONS).withColumn("emulation_flag", emulation_flag("trav_country", "loc_country"))
+    keys = match_keys("start_date", "end_date", "booking_locator", "harp_key", "traveler_guid")
+    dwh = wide.drop(*[d.key for d in MAPPING_DIMENSIONS.values()]).withColumns(keys)
+    newest = [("effective_date", "desc"), ("fact_hotel_id", "desc")]
+    latest = latest_per_key(dwh, ["full_mk"], newest, ties="all").distinct()
+    return latest.withColumns(dict(zip(EFFECTIVE_PARTS, date_parts("effective_date"))))
 
 
 def _read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType) -> DataFrame:
@@ -201,33 +174,41 @@ def _read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType)
 def run_booking_pipeline(
     spark: SparkSession,
     feed_paths: Sequence[str],
-    feed_columns: Sequence[str],
+    feed_columns: Sequence[str] | T.StructType | str,
     star_paths: dict[str, str],
     root: str,
     run_date: str | None = None,
     facts_from: str = FACT_START_FROM,
     yesterday_path: str | None = None,
     publish_path: str | None = None,
-    edm_path: str | None = None,
+    consumer_path: str | None = None,
     tie_break: Sequence[OrderSpec] = DEFAULT_BOOKING_TIE_BREAK,
     tables: dict[str, str] | None = None,
 ) -> DataFrame:
     """The daily job. Each stage is written under ``root`` (shared storage) and
     the next one starts from its files; returns the published consumer copy.
 
+    ``feed_columns`` is the feed's schema: column names (all text), a typed
+    schema, or a schema document (JSON). ``yesterday_path`` defaults to
+    ``publish_path``, so each run compares with what the last one published;
+    on the first run there is nothing there yet. Every stage's stored rows are
+    counted into ``{root}/audit`` (stage, rows).
+
     ``star_paths`` maps fact_hotel, dim_booking, dim_supplier,
     dim_traveler_profile and dim_location to Parquet paths. ``tables`` maps
-    stage names (raw, base, keyed, mapping, matched, published, edm) to catalog
+    stage names (raw, base, keyed, mapping, matched, staging,
+    published, consumer) to catalog
     table names; those stages are written as external tables at their paths.
     ``run_date`` defaults to the current date.
     """
     from ratelake.operators.delta import snapshot_delta
-    from ratelake.operators.export import EDM_RENAMES, renamed_for_consumer, to_contract
+    from ratelake.operators.export import CONSUMER_RENAMES, renamed_for_consumer, to_contract
     from ratelake.operators.match import resolve_matches
-    from ratelake.sources.sinks import save_as_table, staged_overwrite, write_parquet
+    from ratelake.sources.sinks import save_as_table, write_parquet, written_rows
 
     publish_path = publish_path or f"{root}/published"
-    edm_path = edm_path or f"{root}/edm"
+    yesterday_path = yesterday_path or publish_path
+    consumer_path = consumer_path or f"{root}/consumer"
     tables = dict(tables or {})
 
     def materialize(df: DataFrame, path: str, parts: Sequence[str] | None = None, stage: str = "") -> DataFrame:
@@ -236,10 +217,19 @@ def run_booking_pipeline(
             save_as_table(df, tables[stage], path, partition_by=parts)
         else:
             write_parquet(df, path, partition_by=parts)
+        audited.append((stage, path))
         return spark.read.parquet(path)
 
+    audited: list[tuple[str, str]] = []
+    if isinstance(feed_columns, str):
+        schema = schema_from_json(feed_columns)
+    elif isinstance(feed_columns, T.StructType):
+        schema = feed_columns
+    else:
+        schema = feed_schema(feed_columns)
+
     # ingest: text → raw Parquet by created day (parts read back as INT)
-    materialize(ingest_feed(spark, feed_paths, feed_schema(feed_columns)), f"{root}/raw", CREATED_PARTS)
+    materialize(ingest_feed(spark, feed_paths, schema), f"{root}/raw", CREATED_PARTS)
     raw = spark.read.option("mergeSchema", "true").parquet(f"{root}/raw")
 
     # transform: typed base, latest per booking, keyed for matching
@@ -265,8 +255,10 @@ def run_booking_pipeline(
     stamped = matched.withColumns({"dl_last_modified_date": load_date, "rk": F.lit(1), "rk_f": F.lit(1)})
     yesterday = _read_or_empty(spark, yesterday_path, to_contract(stamped).schema)
     snapshot = snapshot_delta(matched, yesterday, run_date)
-    published = staged_overwrite(snapshot, publish_path, f"{root}/publish_staging")
-    if "published" in tables:
-        # external table over the files just published (no second copy)
-        spark.catalog.createTable(tables["published"], path=publish_path, source="parquet")
-    return materialize(renamed_for_consumer(published, EDM_RENAMES), edm_path, stage="edm")
+    published = materialize(snapshot, f"{root}/publish_staging", stage="staging")
+    # The snapshot reads the published path, so it is staged before that path is replaced.
+    published = materialize(published, publish_path, stage="published")
+    consumer = materialize(renamed_for_consumer(published, CONSUMER_RENAMES), consumer_path, stage="consumer")
+    counts = [written_rows(spark, path, "rows").withColumn("stage", F.lit(stage)) for stage, path in audited]
+    write_parquet(reduce(DataFrame.unionByName, counts).coalesce(1), f"{root}/audit")  # a row per stage
+    return consumer

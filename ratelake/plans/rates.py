@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 
 from ratelake.operators.flags import top_n_flag
 from ratelake.operators.labels import pivot_labels, pivot_labels_per_row
-from ratelake.operators.lookup import DEFAULT_BROADCAST_MAX_ROWS, lookup_with_default
+from ratelake.operators.lookup import lookup_with_default
 from ratelake.session import cut_lineage
 from ratelake.sources.parquet import read_parquet
-from ratelake.sources.sinks import write_parquet, write_single_csv
+from ratelake.sources.sinks import write_csv, write_parquet
 
 # Search-log fields read, label ids pivoted, defaults.
 LABELS = "ratePlan_tpaExtensions_labels_label"
@@ -61,13 +61,12 @@ def distinct_responses(
     searches: DataFrame,
     rate_lookup: DataFrame,
     partition_filter: Column | None = None,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Responses with their rate bucket (``OTHER`` when unknown), made distinct."""
     s = searches if partition_filter is None else searches.filter(partition_filter)
     s = s.select(*DAY_COLS, "res_sessionID", "hotel_id", F.col("id").alias("rate_id"), LABELS)
     bucketed = lookup_with_default(
-        s, rate_lookup, on="rate_id", defaults={"new_rate_bucket": NO_BUCKET}, broadcast_max_rows=broadcast_max_rows
+        s, rate_lookup, on="rate_id", defaults={"new_rate_bucket": NO_BUCKET}
     )
     return bucketed.select(
         *DAY_COLS, "res_sessionID", "rate_id", "hotel_id", "new_rate_bucket", LABELS
@@ -80,7 +79,6 @@ def rate_counts(
     partition_filter: Column | None = None,
     labels_method: str = "per_row",
     checkpoint: bool = False,
-    broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Responses per (day, session, hotel, bucket, rate type, top-3 flag).
 
@@ -88,7 +86,7 @@ def rate_counts(
     row (``labels_method='per_row'``, no shuffle); ``'explode'`` runs the
     general explode + pivot and gives the same rows.
     """
-    stage1 = cut_lineage(distinct_responses(searches, rate_lookup, partition_filter, broadcast_max_rows), checkpoint)
+    stage1 = cut_lineage(distinct_responses(searches, rate_lookup, partition_filter), checkpoint)
     if labels_method == "per_row":
         stage2 = pivot_labels_per_row(stage1, LABELS, PIVOT_LABELS)
     elif labels_method == "explode":
@@ -125,5 +123,5 @@ def run_availability_job(
     counts = rate_counts(searches, lookup, partition_filter, checkpoint=checkpoint)
     write_parquet(counts, output_path, partition_by=DAY_COLS)
     summary = rate_summary(spark.read.parquet(output_path))
-    write_single_csv(summary, summary_path, order_by=SUMMARY_KEYS)
+    write_csv(summary, summary_path, order_by=SUMMARY_KEYS)
     return spark.read.csv(summary_path, header=True, schema=summary.schema)

@@ -4,7 +4,7 @@ The library never owns the session. Jobs receive a ``SparkSession`` and read
 where they may write intermediate data from it: ``spark.checkpoint.dir`` names
 a folder on shared storage (HDFS / object store) on a cluster. Only when that
 setting is missing (unit tests, a laptop) do we create a local folder and set
-it, so the same code path works in both places.
+it, so the same code path works in both places; anywhere else it is an error.
 """
 
 from __future__ import annotations
@@ -18,14 +18,19 @@ _SCRATCH_SUBDIR = "ratelake-scratch"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; set a local one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Unset on a cluster it is an error, as no local folder would do. A session
+    with a local master (tests, a laptop) gets a folder of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    # Unset: tests and local runs only. A cluster always names a shared folder.
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     # (The core setting cannot change at run time; the context's folder can.)
     local = tempfile.mkdtemp(prefix="ratelake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
@@ -45,6 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{_SCRATCH_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`scratch_path`, once nothing reads it any more."""
+    if f"/{_SCRATCH_SUBDIR}/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def cut_lineage(df: DataFrame, enabled: bool) -> DataFrame:
     """Eager, reliable checkpoint (never ``localCheckpoint``) when asked for.
 

@@ -7,19 +7,18 @@ from ratelake.sources.feeds import (
     rename_columns,
     schema_from_json,
 )
-from ratelake.sources.parquet import read_parquet, spread_if_narrow, strings_for_binary
+from ratelake.sources.parquet import read_parquet, strings_for_binary
 from ratelake.sources.sinks import (
-    count_written,
     materialize,
     save_as_table,
     staged_overwrite,
     write_parquet,
-    write_single_csv,
+    write_csv,
+    written_rows,
 )
 
 __all__ = [
     "compact_date_partition_parts",
-    "count_written",
     "drop_bad_rows",
     "materialize",
     "read_delimited_feed",
@@ -27,9 +26,9 @@ __all__ = [
     "rename_columns",
     "save_as_table",
     "schema_from_json",
-    "spread_if_narrow",
     "staged_overwrite",
     "strings_for_binary",
     "write_parquet",
-    "write_single_csv",
+    "write_csv",
+    "written_rows",
 ]

@@ -39,18 +39,3 @@ def strings_for_binary(df: DataFrame) -> DataFrame:
     return df.select(
         *[F.col(f"`{c}`").cast("string").alias(c) if c in binary else F.col(f"`{c}`") for c in df.columns]
     )
-
-
-def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an input read as very few splits over the cluster.
-
-    A large table arrives in thousands of splits and is returned untouched
-    (no shuffle). A table stored as one small file is read by one task, and
-    every narrow stage after it would run on one core; it is round-robin
-    repartitioned to the default parallelism. Counting splits plans the scan
-    on the driver only; it runs no job.
-    """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,24 +50,25 @@ def save_as_table(
     writer.saveAsTable(table, mode=mode, format="parquet", path=path)
 
 
-def write_single_csv(df: DataFrame, path: str, order_by: Sequence[str | Column], header: bool = True) -> None:
-    """One CSV file, rows in ``order_by`` order.
+def write_csv(
+    df: DataFrame, path: str, order_by: Sequence[str | Column], header: bool = True, single_file: bool = False
+) -> None:
+    """CSV in ``order_by`` order over all files, first to last.
 
-    For bounded outputs only (business summaries): the upstream work stays
-    parallel; just the final rows meet in one task, sorted there.
+    Rows are range-partitioned and sorted, so a summary of any size is written
+    by many tasks. ``single_file=True`` is for results known to be small: all
+    rows then meet in one task.
     """
-    (
-        df.repartition(1)
-        .sortWithinPartitions(*order_by)
-        .write.mode("overwrite")
-        .csv(path, header=header)
-    )
+    if single_file:
+        df = df.repartition(1).sortWithinPartitions(*order_by)
+    else:
+        df = df.orderBy(*order_by)
+    df.write.mode("overwrite").csv(path, header=header)
 
 
-def count_written(df_or_spark, path: str) -> int:
-    """Post-write audit: rows now stored at ``path``."""
-    spark = df_or_spark.sparkSession if isinstance(df_or_spark, DataFrame) else df_or_spark
-    return spark.read.parquet(path).count()
+def written_rows(spark: SparkSession, path: str, name: str = "rows_written") -> DataFrame:
+    """Post-write audit: one row with the number of rows now stored at ``path``."""
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias(name))
 
 
 def materialize(
@@ -94,8 +95,3 @@ def staged_overwrite(df: DataFrame, target: str, staging: str) -> DataFrame:
     staged = df.sparkSession.read.parquet(staging)
     write_parquet(staged, target)
     return df.sparkSession.read.parquet(target)
-
-
-def lit_count_frame(spark, name: str, value: int) -> DataFrame:
-    """One-row frame ``(name BIGINT)`` — audits exposed as query results."""
-    return spark.range(1).select(F.lit(value).cast("bigint").alias(name))

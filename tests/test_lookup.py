@@ -1,20 +1,21 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
-from ratelake.operators.lookup import fits_in, lookup_with_default, maybe_broadcast
+from ratelake.operators.lookup import Dimension, lookup_with_default, star_join
 
 
-def test_size_checked_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = spark.range(0, 1000, 1, 4)
-        small = spark.range(5).withColumn("v", F.col("id") * 2)
-        assert fits_in(small, 5) and not fits_in(small, 4)
-        hinted = big.join(maybe_broadcast(small, 10), "id")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert maybe_broadcast(big, 10) is big  # over the bound: no hint, shuffle join
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_star_join_keeps_left_sides(spark):
+    fact = spark.createDataFrame([(1, 1, 9), (2, 2, 9), (3, 1, 7)], "f int, a int, b int")
+    tables = {
+        "a": spark.createDataFrame([(1, "x", True), (2, "y", False)], "a int, name string, live boolean"),
+        "b": spark.createDataFrame([(9, "nine")], "b int, name string"),
+    }
+    dims = {
+        "a": Dimension("a", {"name": "a_name"}, lambda: F.col("live")),
+        "b": Dimension("b", {"name": "b_name"}, how="left"),
+    }
+    out = star_join(fact, tables, dims)
+    assert rows(out, "f", "a_name", "b_name") == [(1, "x", "nine"), (3, "x", None)]
 
 
 def test_lookup_default_for_miss_and_null(ansi_spark):

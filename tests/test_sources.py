@@ -8,8 +8,8 @@ from conftest import rows
 from ratelake.plans.bookings import feed_schema, ingest_feed
 from ratelake.session import scratch_path
 from ratelake.sources.feeds import schema_from_json
-from ratelake.sources.parquet import read_parquet, spread_if_narrow
-from ratelake.sources.sinks import count_written, materialize, save_as_table, staged_overwrite, write_parquet
+from ratelake.sources.parquet import read_parquet
+from ratelake.sources.sinks import materialize, save_as_table, staged_overwrite, write_parquet, written_rows
 
 
 def _write(path, text):
@@ -58,7 +58,7 @@ def test_staged_overwrite_of_an_input_path(spark):
     cur = spark.read.parquet(f"{root}/cur")
     out = staged_overwrite(cur.withColumn("id", F.col("id") * 2), f"{root}/cur", f"{root}/stage")
     assert sorted(r[0] for r in out.collect()) == [i * 2 for i in range(10)]
-    assert count_written(spark, f"{root}/cur") == 10
+    assert written_rows(spark, f"{root}/cur").first()[0] == 10
 
 
 def test_merge_schema_and_pruned_schema(spark):
@@ -88,25 +88,32 @@ def test_table_sink_and_materialize(spark):
     assert m.count() == 4
 
 
-def test_spread_if_narrow(spark):
-    path = scratch_path(spark, "one")
-    spark.range(100).coalesce(1).write.parquet(path)
-    df = spark.read.parquet(path)
-    assert spread_if_narrow(df, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, 1, 8)
-    assert spread_if_narrow(wide, 4) is wide
-
-
 def test_single_csv_is_one_sorted_file(spark):
     import glob
 
-    from ratelake.sources.sinks import write_single_csv
+    from ratelake.sources.sinks import write_csv
 
     path = scratch_path(spark, "csv").replace("file:", "")
     df = spark.range(0, 500, 1, 8).select((F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b")).distinct()
-    write_single_csv(df, path, order_by=["a", "b"])
+    write_csv(df, path, order_by=["a", "b"], single_file=True)
     files = glob.glob(f"{path}/part-*.csv")
     assert len(files) == 1
     lines = open(files[0]).read().splitlines()
     body = [tuple(int(x) for x in l.split(",")) for l in lines[1:]]
     assert lines[0] == "a,b" and body == sorted(body) and len(body) == 35
+
+
+def test_csv_is_sorted_over_its_files(spark):
+    import glob
+
+    from ratelake.sources.sinks import write_csv
+
+    path = scratch_path(spark, "csv").replace("file:", "")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_csv(spark.range(0, 500, 1, 8).select((F.col("id") * 7919 % 500).alias("a")), path, order_by=["a"], header=False)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(glob.glob(f"{path}/part-*.csv"))
+    body = [int(x) for f in files for x in open(f).read().split()]
+    assert len(files) > 1 and body == list(range(500))
