@@ -47,10 +47,9 @@ CHANNEL_ROWS = [
     ("SABR", "", "S"), ("AMAD", "", "A"), ("GALI", "", "G"), ("APO", "", "1V"),
     ("HOTELH", "SABR", "S"), ("HOTELH", "APO", "1V"), ("HOTELH", "AMAD", "A"), ("HOTELH", "GALI", "G"),
 ]
-_CHANNEL_VALUES = ", ".join(f"({i}, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(CHANNEL_ROWS))
-CHANNEL = f"""coalesce((
-  SELECT arg_min(code, n) FROM (VALUES {_CHANNEL_VALUES}) v(n, head, shopped, code)
-  WHERE starts_with(content_source, head) AND (shopped = '' OR starts_with(gds_shopped_for_rate, shopped))), 'XX')"""
+_CHANNEL_LIST = ", ".join(f"{{'head': '{a}', 'shopped': '{b}', 'code': '{c}'}}" for a, b, c in CHANNEL_ROWS)
+CHANNEL = f"""coalesce(list_filter([{_CHANNEL_LIST}], lambda r: starts_with(content_source, r.head)
+  AND (r.shopped = '' OR coalesce(starts_with(gds_shopped_for_rate, r.shopped), false)))[1].code, 'XX')"""
 
 # Classifier inputs as named flags, then the ordered decision.
 FLAGS = """

@@ -396,6 +396,7 @@ def booking_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = {
         "feed_columns": B.feed_schema(FS.FEED_NAMES).json(),
         "tables": {"published": f"published_bookings_{tag}", "staging": f"staged_bookings_{tag}"},
+        "stage_parts": CREATED_PARTS[:1],
     }
     star_paths = _pipeline_inputs(spark, sf_dir, root)
     _run_pipeline(spark, root, star_paths, run_date=YESTERDAY, **options)
@@ -407,7 +408,7 @@ def booking_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts the pipeline stores for its stages (those before publishing)."""
     root = scratch_path(spark, "audited")
-    _run_pipeline(spark, root, _pipeline_inputs(spark, sf_dir, root))
+    _run_pipeline(spark, root, _pipeline_inputs(spark, sf_dir, root), stage_parts=CREATED_PARTS[:1])
     audit = spark.read.parquet(f"{root}/stages/audit")
     return audit.where(F.col("stage").isin("raw", "base", "keyed", "mapping", "matched")).select("stage", "rows")
 

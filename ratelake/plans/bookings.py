@@ -184,6 +184,7 @@ def run_booking_pipeline(
     consumer_path: str | None = None,
     tie_break: Sequence[OrderSpec] = DEFAULT_BOOKING_TIE_BREAK,
     tables: dict[str, str] | None = None,
+    stage_parts: Sequence[str] = CREATED_PARTS,
 ) -> DataFrame:
     """The daily job. Each stage is written under ``root`` (shared storage) and
     the next one starts from its files; returns the published consumer copy.
@@ -192,7 +193,9 @@ def run_booking_pipeline(
     schema, or a schema document (JSON). ``yesterday_path`` defaults to
     ``publish_path``, so each run compares with what the last one published;
     on the first run there is nothing there yet. Every stage's stored rows are
-    counted into ``{root}/audit`` (stage, rows).
+    counted into ``{root}/audit`` (stage, rows). ``stage_parts`` are the
+    partition columns of the booking stages, and as many of the mapping (by day; fewer for small feeds,
+    where a directory per day means more files than rows are worth).
 
     ``star_paths`` maps fact_hotel, dim_booking, dim_supplier,
     dim_traveler_profile and dim_location to Parquet paths. ``tables`` maps
@@ -229,12 +232,13 @@ def run_booking_pipeline(
         schema = feed_schema(feed_columns)
 
     # ingest: text → raw Parquet by created day (parts read back as INT)
-    materialize(ingest_feed(spark, feed_paths, schema), f"{root}/raw", CREATED_PARTS)
+    materialize(ingest_feed(spark, feed_paths, schema), f"{root}/raw", stage_parts)
     raw = spark.read.option("mergeSchema", "true").parquet(f"{root}/raw")
+    raw = raw.withColumns({c: F.col(c).try_cast("int") for c in CREATED_PARTS})
 
     # transform: typed base, latest per booking, keyed for matching
-    latest = materialize(latest_bookings(base_projection(raw), tie_break), f"{root}/base", CREATED_PARTS)
-    keyed = materialize(keyed_bookings(latest), f"{root}/keyed", CREATED_PARTS)
+    latest = materialize(latest_bookings(base_projection(raw), tie_break), f"{root}/base", stage_parts)
+    keyed = materialize(keyed_bookings(latest), f"{root}/keyed", stage_parts)
 
     # warehouse mapping
     star = {name: spark.read.parquet(path) for name, path in star_paths.items()}
@@ -244,11 +248,11 @@ def run_booking_pipeline(
             star["dim_traveler_profile"], star["dim_location"], start_from=facts_from,
         ),
         f"{root}/mapping",
-        EFFECTIVE_PARTS,
+        EFFECTIVE_PARTS[: len(stage_parts)],
     )
 
     # match and resolve
-    matched = materialize(resolve_matches(keyed, mapping, tie_break=tie_break), f"{root}/matched", CREATED_PARTS)
+    matched = materialize(resolve_matches(keyed, mapping, tie_break=tie_break), f"{root}/matched", stage_parts)
 
     # publish: delta against yesterday, staged swap, consumer copy
     load_date = F.current_date() if run_date is None else F.lit(run_date).cast("date")
