@@ -28,8 +28,10 @@ from ratelake.llm.text import slices
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-#: Words kept with their ids in each worker.
-CACHE_WORDS = 400_000
+#: Words, and pieces of words, kept with their ids in each worker.
+CACHE_WORDS = 200_000
+#: Fixed: how the tokenizer splits a word into pieces that it encodes one by one.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Latin-1 characters that lower-casing, normalisation and white space treat
 #: alike in Python and in the tokenizer: words of such texts can be looked up.
 _PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *[c for c in range(0xA1, 0x100) if c != 0xAD]])
@@ -37,6 +39,27 @@ _PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *[c for c in range(0xA1, 0x100) i
 _BLOCKS = "shard int, block int, n_ids bigint, doc_ids array<bigint>, lengths array<int>, coded binary"
 
 
+class Recent:
+    """A table of bounded size that forgets what was not asked for lately."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Which keys are not known; the others are in ``now`` after the call."""
+        if len(self.now) > CACHE_WORDS:
+            self.now, self.before = {}, self.now
+        new = []
+        for k in keys - self.now.keys():
+            known = self.before.get(k)
+            if known is None:
+                new.append(k)
+            else:
+                self.now[k] = known
+        return new
+
+
 class TextEncoder:
     """Ids of texts by a public tokenizer, words that recur looked up.
 
@@ -47,12 +70,14 @@ class TextEncoder:
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
+        self.pieces_of = regex.compile(PIECES).findall
         self.tok = Tokenizer.from_str(definition)
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.words: dict[str, bytes] = {}
+        self.words, self.pieces = Recent(), Recent()
 
     def _plain(self, text: str) -> bool:
         try:
@@ -64,14 +89,30 @@ class TextEncoder:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
+    def _piece_ids(self, pieces: list[str], at_once: int = 2000) -> list[bytes]:
+        """Ids of single pieces, many in one text: the tokenizer numbers them in order."""
+        out = []
+        for i in range(0, len(pieces), at_once):
+            part = pieces[i : i + at_once]
+            e = self.tok.encode(" ".join(part), add_special_tokens=False)
+            number = np.array(e.word_ids, np.int64)
+            if number[-1] + 1 != len(part):
+                out += self._ids(part)
+                continue
+            raw, z = np.array(e.ids, self.kind).tobytes(), self.kind.itemsize
+            cuts = (np.searchsorted(number, np.arange(len(part) + 1)) * z).tolist()
+            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
+        return out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.lower().split() if self._plain(t) else None for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        new = list({w for s in split if s for w in s if w not in self.words})
-        self.words.update(zip(new, self._ids(new)))
+        new = {w: self.pieces_of(w) for w in self.words.missing(set().union(*filter(None, split)))}
+        pieces = self.pieces.missing(set().union(*new.values()))
+        self.pieces.now.update(zip(pieces, self._piece_ids(pieces)))
+        of = self.pieces.now.__getitem__
+        self.words.now.update((w, b"".join(map(of, ps))) for w, ps in new.items())
         whole = iter(self._ids([t for t, s in zip(texts, split) if s is None]))
-        get = self.words.__getitem__
+        get = self.words.now.__getitem__
         return [np.frombuffer(next(whole) if s is None else b"".join(map(get, s)), self.kind) for s in split]
 
 
