@@ -35,8 +35,9 @@ from ratelake.llm.common import staged
 from ratelake.llm.text import NOT_ALNUM, Words, map_texts
 
 K, BLOCK = 15, 512
-#: Terms must deviate this far from independence (root of the G statistic), in this many examples.
-MIN_Z, MIN_DOCS = 4.5, 4
+#: Terms must deviate this far from independence (root of the G statistic), in
+#: this many examples, and be this many times as frequent in one label's examples.
+MIN_Z, MIN_DOCS, MIN_LIFT = 4.5, 4, 4.0
 
 
 def _term_counts(words: Words, terms: np.ndarray):
@@ -163,7 +164,8 @@ def _choose_terms(term: np.ndarray, y: np.ndarray, n: np.ndarray, max_terms: int
     cells = ((c1, held * n1), (c0, held * n0), (n1 - c1, (total - held) * n1), (n0 - c0, (total - held) * n0))
     g = 2 * sum(o * np.log(np.maximum(o, 1e-300) * total / np.maximum(e, 1e-300)) for o, e in cells)
     z = np.sqrt(np.maximum(g, 0))
-    good = np.flatnonzero((z >= MIN_Z) & (c0 + c1 >= MIN_DOCS))
+    lift = np.abs(np.log((c1 + 0.5) / (n1 + 1) * (n0 + 1) / (c0 + 0.5)))
+    good = np.flatnonzero((lift >= np.log(MIN_LIFT)) & (z >= MIN_Z) & (c0 + c1 >= MIN_DOCS))
     good = good[np.lexsort((u[good], -np.abs(z[good])))][:max_terms]
     return np.sort(u[good])
 
