@@ -4,8 +4,8 @@ A rule table is a list of ``(result, condition)`` pairs; the first condition
 that is TRUE decides, NULL counts as not matched (SQL ``CASE`` semantics), and
 a default covers the rest. Conditions are small tuples over *roles* (logical
 column names), so one table can be applied to any frame by mapping roles to
-its columns. Compilation yields a single built-in expression: no UDF, fully
-inside whole-stage codegen.
+its columns. Compilation yields a single built-in expression without UDFs, which
+Spark compiles unless the projection around it is wider than ``spark.sql.codegen.maxFields``.
 
 Condition forms::
 

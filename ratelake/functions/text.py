@@ -27,20 +27,3 @@ def normalise_id(c: Column | str) -> Column:
         .when(col.contains("-"), F.regexp_replace(col, "-", ":"))
         .otherwise(col)
     )
-
-
-def contains_ci(c: Column | str, needle: Column | str, is_column: bool = False) -> Column:
-    """Case-insensitive containment (``instr(lower(c), needle) != 0``).
-
-    ``needle`` is a literal (already lower case) unless ``is_column``; an
-    empty needle always matches, NULL on either side gives NULL.
-    """
-    hay = F.lower(_col(c))
-    ndl = F.lower(_col(needle)) if is_column else F.lit(needle)
-    return F.instr(hay, ndl) != 0
-
-
-def blank(c: Column | str) -> Column:
-    """NULL or the empty string."""
-    col = _col(c)
-    return col.isNull() | (col == "")
