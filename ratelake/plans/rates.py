@@ -91,7 +91,7 @@ def rate_counts(
         stage2 = pivot_labels_per_row(stage1, LABELS, PIVOT_LABELS)
     elif labels_method == "explode":
         groups = [*DAY_COLS, "res_sessionID", "hotel_id", "rate_id", "new_rate_bucket", LABELS]
-        stage2 = pivot_labels(stage1, LABELS, PIVOT_LABELS, groups)
+        stage2 = pivot_labels(stage1, LABELS, PIVOT_LABELS, groups, order_by="rate_id")
     else:
         raise ValueError("labels_method must be 'per_row' or 'explode'")
     stage2 = cut_lineage(stage2, checkpoint)
