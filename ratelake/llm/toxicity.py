@@ -1,25 +1,32 @@
 """Toxicity by the nearest labelled examples.
 
 A text is a TF-IDF vector (``1 + ln(count)`` times ``ln(documents / document
-frequency)``, length 1) over the terms that labelled examples of one label
-hold more often than chance allows. Its ``k`` nearest examples by exact cosine
-are found in an inverted index whose posting lists are cut into blocks of
-examples; each list knows its highest weight per block. The sum of those
-maxima bounds every cosine in a block, so blocks are visited from the highest
-bound down and the search ends at the first block that cannot reach the
-current k-th cosine. Neighbours vote with weight ``1 / (distance + 0.05)``.
-Votes become calibrated scores by isotonic regression on the votes that the
-examples get from each other (each left out of its own neighbours); the
-neighbours are returned as evidence.
+frequency)``, length 1) over all terms that the labelled examples hold. Its
+``k`` nearest examples by exact cosine are found in an inverted index: the
+posting lists of rarer terms are summed as they are, terms held by many
+examples are a dense matrix cut into blocks of examples with their highest
+weight per block. The rare sums plus those maxima bound every cosine in a
+block, so only blocks that can reach the current k-th cosine are multiplied
+out. Neighbours vote with weight ``1 / (distance + 0.05)`` and are returned as
+evidence.
+
+A few toxic words hardly move the whole vector of a long text, so a second
+index of the same kind holds the vectors over the terms tied to one label, and
+the vote is the mean of both. Votes become calibrated scores by isotonic
+regression on the votes that the examples get from each other (each left out
+of its own neighbours).
 
 Examples are at most ``max_examples`` labelled rows per label (smallest id
-hashes; votes and calibration undo the unequal shares), terms at most
-``max_terms``. Document frequencies are counted over all documents.
-
-Defined cases: NULL or empty text, or text without any of the terms, has no
-neighbours and gets the calibrated score of such examples; NULL labels are not
-learned from; an id labelled more than once counts with its mean, rounded up
-at one half; without labels, or with labels all alike, the score is their
+hashes; votes and calibration undo the unequal shares); the second index has
+at most ``max_terms`` terms. Document frequencies are counted over all
+documents. Words of a scored text that no example holds are in none of its
+products and not in its length either, which alters no order of neighbours.
+
+Defined cases: NULL or empty text, or text without any term of an example, has
+no neighbours and gets the calibrated score of such examples; text without any
+label-tied term counts there with the share of such examples; NULL labels are
+not learned from; an id labelled more than once counts with its mean, rounded
+up at one half; without labels, or with labels all alike, the score is their
 smoothed share; repeated rows stay. Ties between examples go to the smaller
 index.
 """
@@ -35,7 +42,10 @@ from ratelake.llm.common import staged
 from ratelake.llm.text import NOT_ALNUM, Words, map_texts
 
 K, BLOCK = 15, 512
-#: Terms must deviate this far from independence (root of the G statistic), in
+#: Terms in this share of the examples are held densely; texts searched at once,
+#: and postings summed at once.
+COMMON, ROWS, POSTINGS = 0.05, 64, 1 << 21
+#: Terms of the second index must deviate this far from independence (root of the G statistic), in
 #: this many examples, and be this many times as frequent in one label's examples.
 MIN_Z, MIN_DOCS, MIN_LIFT = 4.5, 4, 4.0
 
@@ -68,13 +78,28 @@ class NeighbourIndex:
         self.y, self.weight, self.ids = y[inside], weight[inside], ids[inside]
         doc = self.place[doc]
         order = np.lexsort((doc, term))
-        self.example, self.value = doc[order], w[order]
-        self.n, self.blocks = n, -(-n // BLOCK) if n else 0
-        cell = term[order] * max(self.blocks, 1) + self.example // BLOCK
-        # Postings of term t in block b: ptr[t, b] up to the next entry.
-        self.ptr = np.searchsorted(cell, np.arange(m * max(self.blocks, 1) + 1))
-        self.peak = np.zeros((m, max(self.blocks, 1)))
-        np.maximum.at(self.peak.ravel(), cell, self.value)
+        self.example, self.value = doc[order].astype(np.int32), w[order]
+        self.n, self.blocks = n, max(-(-n // BLOCK), 1)
+        # Postings of term t: ptr[t] up to the next entry.
+        self.ptr = np.searchsorted(term[order], np.arange(m + 1))
+        common = np.flatnonzero(np.diff(self.ptr) > COMMON * n)
+        self.row = np.full(m, -1, np.int32)  # row of each common term in the dense matrix
+        self.row[common] = np.arange(len(common))
+        self._dense = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "_dense": None}
+
+    def dense(self) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the common terms by example, and their highest per block."""
+        if self._dense is None:
+            common = np.flatnonzero(self.row >= 0)
+            held = np.zeros((len(common), self.blocks * BLOCK))
+            for r, t in enumerate(common):
+                part = slice(self.ptr[t], self.ptr[t + 1])
+                held[r, self.example[part]] = self.value[part]
+            self._dense = held, held.reshape(len(common), self.blocks, BLOCK).max(axis=2)
+        return self._dense
 
     def _weigh(self, doc, term, count, n):
         w = (1 + np.log(count)) * self.idf[term]
@@ -83,24 +108,50 @@ class NeighbourIndex:
 
     def nearest(self, term: np.ndarray, q: np.ndarray, k: int = K, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Indices and cosines of the ``k`` nearest examples that share a term."""
-        bound = q @ self.peak[term]
-        best_s, best_i = np.zeros(0), np.zeros(0, np.int64)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best_s) == k and bound[b] + 1e-12 < best_s[-1]):
-                break
-            acc = np.zeros(BLOCK)
-            for t, w in zip(term, q):
-                cell = t * self.blocks + b
-                s, e = self.ptr[cell], self.ptr[cell + 1]
-                if s < e:
-                    acc[self.example[s:e] - b * BLOCK] += w * self.value[s:e]
-            found = np.flatnonzero(acc > 0)
-            idx = found + b * BLOCK
-            keep = idx != without
-            best_s, best_i = np.concatenate([best_s, acc[found][keep]]), np.concatenate([best_i, idx[keep]])
-            order = np.lexsort((best_i, -best_s))[:k]
-            best_s, best_i = best_s[order], best_i[order]
-        return best_i, best_s
+        return self._search(np.zeros(len(term), np.int64), term, q, 1, k, np.array([without]))[0]
+
+    def _search(self, doc, term, q, n: int, k: int, own: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` of ``n`` texts at once."""
+        held, peak = self.dense()
+        width = self.blocks * BLOCK
+        row = self.row[term]
+        common, rare = row >= 0, np.flatnonzero(row < 0)
+        cos = np.zeros(n * width)
+        begin, size = self.ptr[term[rare]], self.ptr[term[rare] + 1] - self.ptr[term[rare]]
+        upto = np.cumsum(size)
+        i = 0
+        while i < len(rare):
+            j = max(i + 1, int(np.searchsorted(upto, upto[i] - size[i] + POSTINGS, "right")))
+            many = size[i:j]
+            at = np.arange(many.sum()) + np.repeat(begin[i:j] - (np.cumsum(many) - many), many)
+            cell = np.repeat(doc[rare[i:j]] * width, many) + self.example[at]
+            cos += np.bincount(cell, np.repeat(q[rare[i:j]], many) * self.value[at], n * width)
+            i = j
+        cos = cos.reshape(n, self.blocks, BLOCK)
+        dense = np.zeros((n, len(held)))
+        dense[doc[common], row[common]] = q[common]
+        bound = cos.max(axis=2) + dense @ peak
+        floor = np.zeros(n)  # no higher than the k-th cosine
+        done = np.zeros((n, self.blocks), bool)
+        for b in np.argsort(-bound.max(axis=0), kind="stable"):
+            some = np.flatnonzero((bound[:, b] > 0) & (bound[:, b] + 1e-12 >= floor))
+            if not len(some):
+                continue
+            got = cos[some, b] + dense[some] @ held[:, b * BLOCK : (b + 1) * BLOCK]
+            mine = np.flatnonzero((own[some] >= 0) & (own[some] // BLOCK == b))
+            got[mine, own[some[mine]] % BLOCK] = 0
+            cos[some, b], done[some, b] = got, True
+            if not floor.any() and k <= BLOCK:
+                floor[some] = np.partition(got, BLOCK - k, axis=1)[:, BLOCK - k]
+        cos = np.where(done[:, :, None], cos, 0).reshape(n, width)
+        if k < width:
+            floor = np.partition(cos, width - k, axis=1)[:, width - k]
+        d, idx = np.nonzero((cos > 0) & (cos >= floor[:, None] - 1e-12))
+        score = cos[d, idx]
+        order = np.lexsort((idx, -np.round(score, 12), d))
+        d, idx, score = d[order], idx[order], score[order]
+        cut = np.searchsorted(d, np.arange(n + 1))
+        return [(idx[s : min(e, s + k)], score[s : min(e, s + k)]) for s, e in zip(cut[:-1], cut[1:])]
 
     def vote(self, idx: np.ndarray, cos: np.ndarray) -> float:
         w = self.weight[idx] / (np.maximum(1 - cos, 0) + 0.05)
@@ -110,27 +161,44 @@ class NeighbourIndex:
         """Votes of ``n`` texts (-1: no neighbour) and their neighbours."""
         w = self._weigh(doc, term, count, n)
         vote, near = np.full(n, -1.0), [[] for _ in range(n)]
-        cut = np.searchsorted(doc, np.arange(n + 1))
-        for d in np.flatnonzero(np.diff(cut)):
-            part = slice(cut[d], cut[d + 1])
-            idx, cos = self.nearest(term[part], w[part], without=-1 if own is None else own[d])
-            vote[d], near[d] = self.vote(idx, cos), self.ids[idx]
+        own = np.full(n, -1) if own is None else own
+        for i in range(0, n, ROWS):
+            j = min(i + ROWS, n)
+            part = slice(*np.searchsorted(doc, (i, j)))
+            for d, (idx, cos) in enumerate(self._search(doc[part] - i, term[part], w[part], j - i, K, own[i:j]), i):
+                vote[d], near[d] = self.vote(idx, cos), self.ids[idx]
         return vote, near
 
 
 class ToxicityModel:
-    def __init__(self, index: NeighbourIndex | None, share: float, doc=None, term=None, count=None):
-        self.index, self.blank, self.steps, self.levels = index, share, np.zeros(0), np.zeros(0)
+    def __init__(self, index: NeighbourIndex | None, share: float, tied: NeighbourIndex | None = None, held=None, held_tied=None):
+        """``index`` over all terms, ``tied`` over label-tied ones; ``held``: their (document, term, count)."""
+        self.index, self.tied, self.blank, self.steps, self.levels = index, tied, share, np.zeros(0), np.zeros(0)
         if index is None:
             return
         # Votes of the examples among themselves, each without itself.
-        vote, _ = index.votes(doc, term, count, index.n, own=index.place)
         y, w = index.y[index.place], index.weight[index.place]
+        mean = lambda of: float(((w * y)[of].sum() + share) / (w[of].sum() + 1))
+        vote, _ = index.votes(*held, index.n, own=index.place)
+        if tied is not None:
+            second, _ = tied.votes(*held_tied, index.n, own=tied.place)
+            self.untied = mean(second < 0)
+            vote = self._both(vote, second)
         some = vote >= 0
         if (~some).any():
-            self.blank = float(((w * y)[~some].sum() + share) / (w[~some].sum() + 1))
+            self.blank = mean(~some)
         self.steps, self.levels = isotonic(vote[some], y[some], w[some], share)
 
+    def _both(self, vote: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return np.where(vote >= 0, (vote + np.where(second >= 0, second, self.untied)) / 2, -1.0)
+
+    def votes(self, words: Words) -> tuple[np.ndarray, list]:
+        """Votes of texts (-1: no neighbour) and their nearest examples."""
+        vote, near = self.index.votes(*_term_counts(words, self.index.terms), words.n_docs)
+        if self.tied is not None:
+            vote = self._both(vote, self.tied.votes(*_term_counts(words, self.tied.terms), words.n_docs)[0])
+        return vote, near
+
     def score(self, vote: np.ndarray) -> np.ndarray:
         out = np.full(len(vote), self.blank)
         if len(self.steps):
@@ -205,20 +273,25 @@ def train(
     c = [np.frombuffer(r[3], np.int64) for r in rows]
     n1 = y.sum()
     doc = np.repeat(np.arange(len(rows)), [len(x) for x in h])
-    terms = _choose_terms(np.concatenate(h), y[doc], (len(y) - n1, n1), max_terms)
-    if not len(terms):
+    flat, count = np.concatenate([np.zeros(0, np.uint64), *h]), np.concatenate([np.zeros(0, np.int64), *c])
+    if not len(flat):
         return ToxicityModel(None, share)
-    flat = np.concatenate(h)
-    at = np.minimum(np.searchsorted(terms, flat), len(terms) - 1)
-    hit = terms[at] == flat
-    doc, term, count = doc[hit], at[hit], np.concatenate(c)[hit]
+    terms, term = np.unique(flat, return_inverse=True)
     order = np.lexsort((term, doc))
     doc, term, count = doc[order], term[order], count[order]
     idf = _idf(docs.select(F.col(text).cast("string").alias("text")), terms)
     weight = np.where(y == 1, per[1] / max(n1, 1), per[0] / max(len(y) - n1, 1))
-    weight = weight / weight.min()
-    index = NeighbourIndex(terms, idf, doc, term, count, y, weight, np.array([r[0] for r in rows]))
-    return ToxicityModel(index, share, doc, term, count)
+    about = y, weight / weight.min(), np.array([r[0] for r in rows])
+    index = NeighbourIndex(terms, idf, doc, term, count, *about)
+    chosen = _choose_terms(terms[term], y[doc], (len(y) - n1, n1), max_terms)
+    if not len(chosen):
+        return ToxicityModel(index, share, held=(doc, term, count))
+    at = np.searchsorted(terms, chosen)
+    place = np.full(len(terms), -1)
+    place[at] = np.arange(len(at))
+    hit = place[term] >= 0
+    held = doc[hit], place[term[hit]], count[hit]
+    return ToxicityModel(index, share, NeighbourIndex(chosen, idf[at], *held, *about), (doc, term, count), held)
 
 
 def _idf(texts: DataFrame, terms: np.ndarray) -> np.ndarray:
@@ -231,12 +304,15 @@ def _idf(texts: DataFrame, terms: np.ndarray) -> np.ndarray:
             _, term, _ = _term_counts(words, shared.value)
             total += np.bincount(term, minlength=len(total))
             n += words.n_docs
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total))), pa.array(np.concatenate([[n], total]))], names=["t", "n"])
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([[-1], held])), pa.array(np.concatenate([[n], total[held]]))], names=["t", "n"]
+        )
 
-    got = texts.mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n")).collect()  # a row per term
-    got = {r[0]: r[1] for r in got}
-    n = got.get(-1, 0)
-    return np.log((n + 1) / (np.array([got.get(i, 0) for i in range(len(terms))]) + 0.5))
+    got = texts.mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row per term
+    frequency = np.zeros(len(terms) + 1, np.int64)  # last: all documents
+    frequency[got["t"].to_numpy()] = got["n"].to_numpy()
+    return np.log((frequency[-1] + 1) / (frequency[:-1] + 0.5))
 
 
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -248,8 +324,7 @@ def toxicity_scores(docs: DataFrame, model: ToxicityModel, doc_id: str = "doc_id
         n = part.num_rows
         vote, near = np.full(n, -1.0), [[]] * n
         if model.index is not None:
-            doc, term, count = _term_counts(Words(part.column(1), NOT_ALNUM), model.index.terms)
-            vote, near = model.index.votes(doc, term, count, n)
+            vote, near = model.votes(Words(part.column(1), NOT_ALNUM))
         return pa.RecordBatch.from_arrays(
             [part.column(0), pa.array(model.score(vote)), pa.array(near, pa.list_(pa.int64()))],
             names=["doc_id", "score", "evidence"],

@@ -72,3 +72,21 @@ def test_held_out_accuracy(spark):
     held = [(r["predicted"], toxic[r["doc_id"]]) for r in out if r["held_out"] and toxic.get(r["doc_id"]) is not None]
     assert sum(p == y for p, y in held) >= 0.9 * len(held)
     assert sum(p for p, y in held if y) >= 0.6 * sum(y for _, y in held)
+
+
+def test_neighbours_by_all_terms(spark):
+    """Texts without any label-tied term, against brute-force cosines over all their terms."""
+    rng = np.random.default_rng(7)
+    words = np.array([f"w{i}" for i in range(400)])
+    texts = [" ".join(words[rng.geometric(0.02, 30) % 400]) for _ in range(130)]
+    docs = frame(spark, list(enumerate(texts)), "doc_id long, text string")
+    known = frame(spark, [(i, int(i % 3 == 0)) for i in range(100)], "doc_id long, toxic int")
+    model = tx.train(docs, known, F.lit(True))
+    vocabulary = sorted({w for t in texts[:100] for w in t.split()})
+    counts = np.array([[t.split().count(w) for w in vocabulary] for t in texts])
+    x = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * np.log((130 + 1) / ((counts > 0).sum(axis=0) + 0.5))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for r in spark_rows(tx.toxicity_scores(docs.where("doc_id >= 100"), model)):
+        cos = x[:100] @ x[r["doc_id"]]
+        assert len(r["evidence"]) == tx.K
+        assert np.allclose(cos[r["evidence"]], np.sort(cos)[::-1][: tx.K])
