@@ -10,11 +10,11 @@ all documents, with ``n`` documents, ``c(e)`` of them holding the value ``e``,
 
 which is 1 when the term implies the value and 0 when it tells nothing. Terms
 over ``threshold`` that stand with the value in at least ``min_support``
-contexts (different words before it, and after it) are added as
+pieces of evidence are added as
 spans of kind ``term``: replaced by ``[TERM]`` at or over ``remove_at``, cut
-to their first letter (generalised) below it. Copies and near copies of one
-text repeat its contexts, so they are one piece of evidence: a term also needs
-a new context in every second text that holds it.
+to their first letter (generalised) below it. Copies of one text, and texts
+linked to it by at least half of their five-word shingles (met under one of
+eight minhash values), are one piece of evidence.
 
 Only DataFrame functions are used. Patterns are written without nested
 retries (possessive runs that start where no earlier character of the run
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged
+from ratelake.llm.components import components
 
 #: Fixed: order of the kinds.
 KINDS = ("email", "ip", "card", "phone")
@@ -43,6 +44,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"\p{L}{3,}"
+#: Minhash values by which near copies meet.
+SKETCH = 8
 _SPAN = "struct<kind:string,start:bigint,end:bigint,value:string>"
 
 
@@ -105,6 +108,26 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("base", F.concat(*parts)).drop(*[f"_{k}" for k in KINDS])
 
 
+def _near_copies(texts: DataFrame) -> DataFrame:
+    """(copy, component) of the texts (copy, w: words) that are near copies of another one.
+
+    Under each minhash value all texts are held against one of them, so work
+    stays linear in a group of near copies.
+    """
+    piece = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("w", i, 5)))
+    sets = staged(texts.where(F.size("w") > 0).select("copy", F.array_distinct(piece).alias("s")), "pii-shingles")
+    low = [F.array_min(F.transform("s", lambda h, j=j: F.xxhash64(h, F.lit(j)))) for j in range(SKETCH)]
+    keys = sets.select("copy", F.posexplode(F.array(*low)).alias("j", "low"))
+    hub = keys.groupBy("j", "low").agg(F.min("copy").alias("v"), F.max("copy").alias("hi")).where("v < hi").drop("hi")
+    pairs = staged(keys.join(hub, ["j", "low"]).where("copy != v").select(F.col("copy").alias("u"), "v").distinct(), "pii-near")
+    both = pairs.join(sets.select(F.col("copy").alias("u"), F.col("s").alias("a")), "u").join(
+        sets.select(F.col("copy").alias("v"), F.col("s").alias("b")), "v"
+    )
+    shared = F.size(F.array_intersect("a", "b"))
+    links = both.where(3 * shared >= F.size("a") + F.size("b")).select("u", "v")  # half of the union
+    return components(links).withColumnRenamed("node", "copy")
+
+
 def revealing_terms(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -130,17 +153,15 @@ def revealing_terms(
     per_text = values.groupBy("value", "copy").agg(F.count("*").alias("k"))
     common = per_text.groupBy("value").agg(F.sum("k").alias("c_e"), F.count("*").alias("texts")).where(F.col("texts") >= min_support)
     common = staged(common.select("value", "c_e"), "pii-values")
-    # Copies of one text are read once; a word's neighbours are its context there.
-    texts = values.join(common, "value").groupBy("value", "c_e", "copy").agg(F.count("*").alias("k"), F.first("_t").alias("_t"))
-    m, none = F.regexp_extract_all(F.lower("_t"), F.lit(TERM), F.lit(0)), F.array(F.lit(""))
-    around = F.arrays_zip(m.alias("term"), F.concat(none, m).alias("a"), F.slice(F.concat(m, none), 2, 1 << 30).alias("b"))
-    rows = texts.select("value", "c_e", "copy", "k", F.explode(around).alias("w")).where("w.term IS NOT NULL")
-    rows = rows.groupBy("value", "c_e", "copy", "k", F.col("w.term").alias("term")).agg(F.min(F.struct("w.a", "w.b")).alias("w"))
-    pairs = rows.groupBy("value", "c_e", "term").agg(
-        F.sum("k").alias("c_te"), F.count("*").alias("texts"), F.count_distinct("w.a").alias("a"), F.count_distinct("w.b").alias("b")
-    )
-    contexts = F.least("a", "b")
-    pairs = staged(pairs.where((contexts >= min_support) & (2 * contexts >= F.col("texts"))), "pii-pairs")
+    # Copies of one text are read once, near copies are one piece of evidence.
+    holds = values.join(common, "value")
+    texts = staged(holds.groupBy("copy").agg(F.regexp_extract_all(F.lower(F.first("_t")), F.lit(TERM), F.lit(0)).alias("w")), "pii-texts")
+    rows = holds.groupBy("value", "c_e", "copy").agg(F.count("*").alias("k"))
+    rows = rows.join(texts.select("copy", F.array_distinct("w").alias("w")), "copy").join(_near_copies(texts), "copy", "left")
+    rows = rows.select("value", "c_e", "k", F.coalesce("component", "copy").alias("evidence"), F.explode("w").alias("term"))
+    rows = rows.groupBy("value", "c_e", "term", "evidence").agg(F.sum("k").alias("k"))
+    pairs = rows.groupBy("value", "c_e", "term").agg(F.sum("k").alias("c_te"), F.count("*").alias("support"))
+    pairs = staged(pairs.where(F.col("support") >= min_support), "pii-pairs")
     words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(TERM), F.lit(0)))
     terms = pairs.select("term").distinct()
     hits = (

@@ -96,3 +96,17 @@ def test_query(spark):
 
 def test_empty_table(spark):
     assert pii.find_personal_data(frame(spark, [], "doc_id int, text string")).count() == 0
+
+
+def test_terms_in_fixed_company(spark):
+    """A name beside one address in texts of their own is found, whatever their number; near copies stay one text."""
+    word = lambda i, j: "".join("abcdefghij"[int(c)] for c in str(10000 + 97 * i + j))
+    own = lambda i: " ".join(word(i, j) for j in range(12))
+    rows = [(i, f"{own(i)} John Smith john@corp.example.com {own(i + 40)}") for i in range(30)]
+    long = " ".join(word(200, j) for j in range(60))
+    rows += [(100 + i, f"{long} Wendy Brown wendy@other.example.com {word(300, i)}") for i in range(30)]
+    rows += [(200 + i, own(400 + i)) for i in range(100)]
+    docs = frame(spark, rows, "doc_id int, text string")
+    got = {r.doc_id: {s.value for s in r.terms} for r in pii.find_personal_data(docs).collect()}
+    assert all(got[i] == {"John", "Smith"} for i in range(30))
+    assert all(not got[i] for i in range(100, 300) if i in got)
