@@ -7,7 +7,9 @@ signatures differ in at most 15 values, some chunk differs in at most one
 errors are enumerated: every chunk is indexed 6 times, each time without one
 of its values. All pairs within 15 of 48 values meet under some key. Two
 documents at similarity 0.85 differ in 7.2 values on average; the chance that
-such a pair meets under no key is under 0.00001.
+such a pair meets under no key is under 0.00001. For other similarities the
+number of chunks is the smallest that keeps this chance (11 at 0.80), and the
+distance in the last step follows it.
 
 Work per group of similar texts stays linear. Documents with equal sets are
 one node. Under each key all nodes are first held against one node of the key
@@ -28,6 +30,10 @@ Shingles are 64-bit hashes of whole word sequences.
 
 from __future__ import annotations
 
+import math
+from functools import cache
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,15 +43,38 @@ from ratelake.llm.common import staged
 from ratelake.llm.components import components
 from ratelake.llm.text import Words, map_texts, mix64, shingles
 
-VALUES, CHUNKS = 48, 8
-WIDTH = VALUES // CHUNKS
-#: Pairs whose signatures differ in so many values do not reach the similarity
-#: (5 standard deviations over the 7.2 values of a pair at 0.85).
-FAR = 21
-_rng = np.random.default_rng(20240229)
-_A = _rng.integers(1, 1 << 62, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = _rng.integers(0, 1 << 62, VALUES, dtype=np.uint64)
-_KEY = _rng.integers(1, 1 << 62, (CHUNKS, WIDTH, WIDTH), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Values of a chunk; highest chance that a pair at the similarity shares no key;
+#: lowest percent (chunks needed grow steeply below).
+WIDTH, MISSED, LEAST = 6, 1e-5, 50
+
+
+class Plan(NamedTuple):
+    """Signature for a similarity: chunks, hash factors, and from how many
+    differing values on pairs do not reach it (5 standard deviations)."""
+
+    chunks: int
+    values: int
+    far: int
+    a: np.ndarray
+    b: np.ndarray
+    key: np.ndarray
+
+
+@cache
+def plan_for(percent: int) -> Plan:
+    if not LEAST <= percent <= 100:
+        raise ValueError(f"percent must be from {LEAST} to 100, not {percent}")
+    p = percent / 100
+    lost = 1 - p**WIDTH - WIDTH * (1 - p) * p ** (WIDTH - 1)  # more than one error in a chunk
+    chunks = max(1, math.ceil(math.log(MISSED) / math.log(lost))) if lost > 1e-12 else 1
+    values = chunks * WIDTH
+    far = math.ceil(values * (1 - p) + 5 * math.sqrt(values * p * (1 - p))) + 1
+    rng = np.random.default_rng(20240229)
+    a = rng.integers(1, 1 << 62, values, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    b = rng.integers(0, 1 << 62, values, dtype=np.uint64)
+    key = rng.integers(1, 1 << 62, (chunks, WIDTH, WIDTH), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return Plan(chunks, values, far, a, b, key)
+
 
 _DESCRIBED = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, sig binary"
 
@@ -56,7 +85,7 @@ def _sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return [np.unique(h[off[d] : off[d + 1]]) for d in range(words.n_docs)]
 
 
-def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
+def describe(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
     """Per document: set size, two fingerprints of the set, signature."""
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -65,12 +94,12 @@ def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
         off = np.concatenate([[0], np.cumsum(n)])
         flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
         full = np.flatnonzero(n)
-        sig = np.zeros((len(n), VALUES), np.uint16)
+        sig = np.zeros((len(n), plan.values), np.uint16)
         a, b = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
         if len(full):
             at = off[full]
-            for i in range(VALUES):
-                low = np.minimum.reduceat((flat * _A[i] + _B[i]) >> np.uint64(16), at)
+            for i in range(plan.values):
+                low = np.minimum.reduceat((flat * plan.a[i] + plan.b[i]) >> np.uint64(16), at)
                 sig[full, i] = (low & np.uint64(0xFFFF)).astype(np.uint16)
             a[full] = np.add.reduceat(mix64(flat ^ np.uint64(0x5BD1E995)), at)
             b[full] = np.add.reduceat(mix64(flat + np.uint64(0x27D4EB2F)), at)
@@ -89,21 +118,21 @@ def describe(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int
     return rows.mapInArrow(map_texts(run), _DESCRIBED)
 
 
-def chunk_keys(nodes: DataFrame) -> DataFrame:
-    """(node, keys): every chunk of a signature without each of its values, 48 keys."""
+def chunk_keys(nodes: DataFrame, plan: Plan) -> DataFrame:
+    """(node, keys): every chunk of a signature without each of its values, a key each."""
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, CHUNKS, WIDTH)
-            keys = np.empty((len(sig), CHUNKS, WIDTH), np.uint64)
+            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, plan.chunks, WIDTH)
+            keys = np.empty((len(sig), plan.chunks, WIDTH), np.uint64)
             for out in range(WIDTH):
-                weight = _KEY[:, out, :].copy()
+                weight = plan.key[:, out, :].copy()
                 weight[:, out] = 0
                 acc = ((sig.astype(np.uint64) + np.uint64(1)) * weight).sum(axis=2, dtype=np.uint64)
-                keys[:, :, out] = mix64(acc ^ _KEY[:, out, out])
-            off = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * VALUES)
+                keys[:, :, out] = mix64(acc ^ plan.key[:, out, out])
+            off = pa.array(np.arange(len(sig) + 1, dtype=np.int32) * plan.values)
             arrays = pa.ListArray.from_arrays(off, pa.array(keys.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), arrays], names=["node", "keys"])
 
@@ -152,14 +181,15 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85, k: int = 5
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per input row."""
-    described = staged(describe(docs, doc_id, text, k), "dup-described")
+    plan = plan_for(percent)
+    described = staged(describe(docs, plan, doc_id, text, k), "dup-described")
     full = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
     # Documents with equal sets are one node, named by their smallest id.
     nodes = full.groupBy("set_a", "set_b", "n_shingles").agg(
         F.min("doc_id").alias("node"), F.first("sig").alias("sig")
     )
     nodes = staged(nodes, "dup-nodes")
-    keys = chunk_keys(nodes).select("node", F.explode("keys").alias("key"))
+    keys = chunk_keys(nodes, plan).select("node", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = staged(keys.join(shared, "key"), "dup-members")
     same = full.join(
@@ -232,7 +262,8 @@ def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_
 def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes under one key but in different components, within their
     bounds and near by signature; each pair under the first key it shares only."""
-    own = chunk_keys(nodes.join(able.select("node").distinct(), "node", "left_semi"))
+    plan = plan_for(percent)
+    own = chunk_keys(nodes.join(able.select("node").distinct(), "node", "left_semi"), plan)
     rows = able.join(own, "node")
     rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.array_position("keys", F.col("key")).cast("int") - 1)).drop("keys")
     a, b = rows.alias("a"), rows.alias("b")
@@ -249,8 +280,8 @@ def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
             if b.num_rows:
-                p, q = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, VALUES) for i in (2, 3))
-                yield b.select([0, 1]).filter(pa.array((p != q).sum(axis=1) < FAR))
+                p, q = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, plan.values) for i in (2, 3))
+                yield b.select([0, 1]).filter(pa.array((p != q).sum(axis=1) < plan.far))
 
     return pairs.select("u", "v", "su", "sv").mapInArrow(run, "u bigint, v bigint")
 

@@ -3,6 +3,8 @@
 import random
 import re
 
+import pytest
+
 from ratelake.llm import neardup
 from ratelake.llm.components import components
 from ratelake.llm.queries import op4_near_dedup
@@ -116,3 +118,13 @@ def test_components(spark):
         x, y = find(a), find(b)
         root[max(x, y)] = min(x, y)
     assert out == {x: find(x) for x in list(root) if x != 200}
+
+
+def test_signature_follows_percent():
+    for percent in (50, 70, 80, 85, 95):
+        p, plan = percent / 100, neardup.plan_for(percent)
+        missed = (1 - p**6 - 6 * (1 - p) * p**5) ** plan.chunks
+        assert missed < 1e-5 and plan.far > 6 * plan.chunks * (1 - p)
+    assert neardup.plan_for(85).chunks == 8 and neardup.plan_for(85).far == 21
+    with pytest.raises(ValueError):
+        neardup.plan_for(30)
