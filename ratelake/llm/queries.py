@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, katz, langid, mixing, neardup, pii, quality, tokenids, topk, toxicity
+from ratelake.llm import decontaminate, katz, langid, mixing, neardup, pieces, pii, quality, tokenids, topk, toxicity
 from ratelake.llm.common import fold, scratch, table
 
 
@@ -68,6 +68,13 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.digest_rows(pieces.encode(table(spark, sf_dir, "documents"), model, decode=True))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_ids": op2_token_ids,
@@ -79,6 +86,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
+    "op12_sentencepiece": op12_sentencepiece,
 }
 
 ORACLE = {
