@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, katz, langid, mixing, neardup, pieces, pii, quality, tokenids, topk, toxicity
+from ratelake.llm import decontaminate, divergence, katz, langid, mixing, neardup, pieces, pii, quality, tokenids, topk, toxicity
 from ratelake.llm.common import fold, scratch, table
 
 
@@ -68,6 +68,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -86,10 +90,12 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_top_k": op9_top_k,
     "op10_mixing": op10_mixing,
+    "op11_divergence": op11_divergence,
     "op12_sentencepiece": op12_sentencepiece,
 }
 
 ORACLE = {
     "op9_top_k": topk.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
+    "op11_divergence": divergence.ORACLE_SQL,
 }
