@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import decontaminate, divergence, katz, langid, mixing, neardup, pieces, pii, quality, tokenids, topk, toxicity
+from ratelake.llm import decontaminate, divergence, katz, langid, mixing, neardup, pieces, pii, prefixtrie, quality, tokenids, topk, toxicity
 from ratelake.llm.common import fold, scratch, table
 
 
@@ -79,6 +79,10 @@ def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest_rows(pieces.encode(table(spark, sf_dir, "documents"), model, decode=True))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_ids": op2_token_ids,
@@ -92,10 +96,12 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_divergence": op11_divergence,
     "op12_sentencepiece": op12_sentencepiece,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLE = {
     "op9_top_k": topk.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
     "op11_divergence": divergence.ORACLE_SQL,
+    "op13_prefix_trie": prefixtrie.ORACLE_SQL,
 }
