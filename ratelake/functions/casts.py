@@ -15,27 +15,37 @@ from pyspark.sql import functions as F
 # Fixed value: characters the legacy casts trim from both ends (ASCII control
 # characters and space).
 TRIMMED = "".join(map(chr, [*range(0x00, 0x21), 0x7F]))
-DIGITS = "0123456789"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Ranges of the integral types narrower than BIGINT.
+_BITS = {"int": 32, "smallint": 16, "tinyint": 8}
+
+
+# What reads as a whole number (group: the part before the point), and as a
+# bare fraction. Trimmed characters may stand around either.
+_AROUND = r"[\x00-\x20\x7F]*"
+NUMBER = rf"^{_AROUND}[+-]?[0-9]+(\.[0-9]*)?{_AROUND}$"
+FRACTION = rf"^{_AROUND}[+-]?\.[0-9]+{_AROUND}$"
+
+
 def _lenient_integral(c: Column | str, target: str) -> Column:
-    # The text before the point is the result; the fraction only has to be
-    # digits (it is never rounded into the result, however long it is).
-    text = F.btrim(_col(c).cast("string"), F.lit(TRIMMED))
-    point = F.instr(text, ".")
-    whole = F.substring_index(text, ".", 1)
-    fraction = F.substr(text, point + 1)
-    bare = whole.isin("", "+", "-")
-    return (
-        F.when(point == 0, text.try_cast(target))
-        .when(F.length(F.translate(fraction, DIGITS, "")) > 0, None)
-        .when(bare, F.when(F.length(fraction) > 0, F.lit(0).cast(target)))
-        .otherwise(whole.try_cast(target))
-    )
+    # The syntax of a value is looked at first, and no value that cannot be
+    # read reaches a cast, since a failing one is dear (it throws): up to 18
+    # digits always fit a BIGINT, whose range is tested here. The text before
+    # the point is the result; the fraction is never rounded into it, however
+    # long it is.
+    text = _col(c).cast("string")
+    whole = F.btrim(F.substring_index(text, ".", 1), F.lit(TRIMMED))
+    number = whole.try_cast("bigint")
+    if target in _BITS:
+        top = 1 << (_BITS[target] - 1)
+        number = F.when(number.between(-top, top - 1), number.try_cast(target))
+    number = F.when(F.length(whole) <= 18, number).otherwise(whole.try_cast(target))
+    return F.when(text.rlike(NUMBER), number).when(text.rlike(FRACTION), F.lit(0).cast(target))
 
 
 def lenient_int(c: Column | str) -> Column:

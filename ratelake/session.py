@@ -82,6 +82,8 @@ def local_session(app: str = "ratelake", cores: int | str = "*", partitions: int
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Wide projections: the JVM does not compile methods beyond this size.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
