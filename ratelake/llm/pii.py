@@ -38,7 +38,7 @@ from ratelake.llm.components import components
 KINDS = ("email", "ip", "card", "phone")
 #: Fixed: patterns of the kinds (same matches as the plain forms, see above).
 PATTERNS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
@@ -70,6 +70,34 @@ def _check(kind: str):
     return lambda s: _valid(kind, s["value"])
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas use it many times."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _walk(items: Column, step, spans: str = f"array<{_SPAN}>") -> Column:
+    """Spans that ``step`` makes from items and the position so far, in order.
+
+    Appending to an array copies it, so items are walked in blocks of about
+    the root of their number: inside a block few spans are copied, and the
+    whole array only once a block.
+    """
+    none = F.array().cast(spans)
+    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), none.alias("spans"))
+
+    def over(acc: Column, some: Column) -> Column:
+        inside = F.aggregate(some, F.struct(acc["pos"].alias("pos"), none.alias("spans")), step)
+        return _bound(inside, lambda x: F.struct(x["pos"].alias("pos"), F.concat(acc["spans"], x["spans"]).alias("spans")))
+
+    def walk(all_: Column) -> Column:
+        size = F.size(all_)
+        block = F.greatest(F.ceil(F.sqrt(size)), F.lit(1)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((size - 1) / block).cast("int")), lambda b: F.slice(all_, b * block + 1, block))
+        return F.when(size > 0, F.aggregate(blocks, zero, over)["spans"]).otherwise(none)
+
+    return _bound(items, walk)
+
+
 def _found(text: Column, pattern: str, kind: str, when: Column) -> Column:
     """All matches of a pattern as spans, in order, before validation.
 
@@ -80,7 +108,6 @@ def _found(text: Column, pattern: str, kind: str, when: Column) -> Column:
     m = F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(empty)
     gaps = F.when(when, F.split(text, pattern, -1)).otherwise(empty)
     pairs = F.arrays_zip(m.alias("m"), F.slice(gaps, F.lit(1), F.size(m)).alias("g"))
-    zero = F.struct(F.lit(0).cast("bigint").alias("pos"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["pos"] + F.char_length(x["g"])
@@ -88,7 +115,39 @@ def _found(text: Column, pattern: str, kind: str, when: Column) -> Column:
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["m"].alias("value"))
         return F.struct(end.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    return F.when(F.size(m) > 0, F.aggregate(pairs, zero, step)["spans"]).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    return _walk(pairs, step)
+
+
+def _replaced(text: Column, spans: Column) -> Column:
+    """``text`` with each span replaced by its kind, at its place only; of spans
+    that overlap the later one stands for what is left of it."""
+    piece = "struct<start:bigint,end:bigint,kind:string>"
+
+    def step(acc: Column, x: Column) -> Column:
+        left = F.struct(F.greatest(x["start"], acc["pos"]).alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))
+        more = F.when(x["end"] > acc["pos"], F.array(left)).otherwise(F.array().cast(f"array<{piece}>"))
+        return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), F.concat(acc["spans"], more).alias("spans"))
+
+    # By start, the longer one first.
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
+    ordered = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end"), s["kind"].alias("kind")))
+    cut = _walk(ordered, step, f"array<{piece}>")
+    before = lambda c: F.concat(F.array(F.lit(0).cast("bigint")), F.transform(c, lambda s: s["end"]))
+
+    def joined(held: Column) -> Column:
+        # Each piece of text between two spans, then the kind of the second one.
+        upto = F.arrays_zip(held["cut"].alias("s"), before(held["cut"]).alias("before"))
+        between = lambda a, n: F.array_join(F.slice(held["chars"], (a + 1).cast("int"), n.cast("int")), "")
+
+        def part(x: Column) -> Column:
+            rest = between(x["before"], F.size(held["chars"]) - x["before"])
+            tag = F.concat(F.lit("["), F.upper(x["s"]["kind"]), F.lit("]"))
+            return F.when(x["s"].isNull(), rest).otherwise(F.concat(between(x["before"], x["s"]["start"] - x["before"]), tag))
+
+        return F.array_join(F.transform(upto, part), "")
+
+    held = F.struct(cut.alias("cut"), F.split(text, "").alias("chars"))
+    return F.when(F.size(spans) > 0, _bound(held, joined)).otherwise(text)
 
 
 def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -226,11 +285,7 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", remove
     generalised to their first letter (or removed at ``remove_at`` and over)."""
     terms = revealing_terms(docs, doc_id, text, **options).withColumnRenamed("doc_id", "_i")
     base = base_spans(docs, text)
-    plain = F.aggregate(
-        F.col("base"),
-        F.coalesce(F.col(text), F.lit("")),
-        lambda acc, s: F.replace(acc, s["value"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))),
-    )
+    plain = _replaced(F.coalesce(F.col(text), F.lit("")), F.col("base"))
     out = base.withColumn("_p", plain).join(terms, F.col(doc_id) == F.col("_i"), "left")
     cut = F.aggregate(
         F.coalesce(F.col("terms"), F.array().cast("array<struct<term:string,disclosure:double>>")),

@@ -110,3 +110,33 @@ def test_terms_in_fixed_company(spark):
     got = {r.doc_id: {s.value for s in r.terms} for r in pii.find_personal_data(docs).collect()}
     assert all(got[i] == {"John", "Smith"} for i in range(30))
     assert all(not got[i] for i in range(100, 300) if i in got)
+
+
+def test_many_matches_and_long_chains(spark):
+    """Mail chains of thousands of parts and texts of very many matches end, in time."""
+    texts = ["a@b" + ".b" * 200_000, "12 a " * 100_000, "1.2.3.4 x@y.z +1 (366) 555-9807 " * 4_000, "a@b.c," * 50_000]
+    docs = frame(spark, list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.base] for r in pii.base_spans(docs).collect()}
+    assert got == {i: literal(t) for i, t in enumerate(texts)}
+
+
+def test_sanitise_at_the_spans_only(spark):
+    texts = {
+        1: ("call 1.2.3.4 or 21.2.3.4 or 256.2.3.4", "call [IP] or [IP] or 256.2.3.4"),
+        2: ("é😀 1.2.3.4@x.org 😀 +1 (366) 555-9807!", "é😀 [EMAIL] 😀 [PHONE]!"),
+        3: ("", ""),
+        4: (None, None),
+        5: ("nothing here", "nothing here"),
+        6: ("a@b.c" * 3, None),
+        7: ("x@y.z1.1.1.1 10.0.0.1 5425-2334-3010-9903", None),
+    }
+    docs = frame(spark, [(i, t) for i, (t, _) in texts.items()], "doc_id int, text string")
+    for r in pii.sanitise(docs).collect():
+        text, want = texts[r.doc_id]
+        if want is None and text:
+            # every character outside of the spans stays, every span goes
+            covered = set().union(*(range(a, b) for _, a, b in literal(text)))
+            rest = "".join(c for i, c in enumerate(text) if i not in covered)
+            assert re.sub(r"\[(EMAIL|IP|CARD|PHONE)\]", "", r.text) == rest
+        else:
+            assert r.text == want
