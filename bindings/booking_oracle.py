@@ -430,4 +430,30 @@ SELECT pnr_mk, confirmation_ref, CAST(0 AS INTEGER) AS days_since_load FROM ({de
 SELECT 'base' AS stage, count(*) AS rows FROM latest UNION ALL SELECT 'keyed', count(*) FROM keyed
 UNION ALL SELECT 'mapping', count(*) FROM mapping UNION ALL SELECT 'matched', count(*) FROM resolved
 UNION ALL SELECT 'raw', count(*) FROM raw""",
+    # Day one publishes rows of which every 16th key had another bucket value.
+    "snapshot_buckets": f"""{_WITH_ALL},
+before AS (
+  SELECT * REPLACE (CASE WHEN substr(md5(pnr_mk), 1, 1) = '0' THEN 'OLD BUCKET' ELSE new_rate_bucket END AS new_rate_bucket)
+  FROM resolved
+),
+yest AS ({delta_sql('before', None).replace('2002-01-15', '2002-01-14')}
+)
+{delta_sql('resolved', 'yest')}""",
+    "latest_state_days": f"WITH {BOOKINGS}\nSELECT hotelhub_booking_ref, lastmodified_datetime, confirmation_ref FROM latest",
+    "versioned_publish": "SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal * 2, 2) AS s_acctbal FROM supplier",
+    "partition_rerun": """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END AS l_quantity, l_returnflag
+FROM lineitem""",
+    "feed_quarantine": """
+SELECT CASE WHEN c_custkey % 10 = 7 THEN 'id' ELSE CAST(c_custkey AS VARCHAR) END AS id,
+  CASE c_custkey % 10 WHEN 7 THEN 'created_date' WHEN 3 THEN 'n/a' ELSE '190524' END AS created_date,
+  CASE c_custkey % 10 WHEN 7 THEN 'segment' WHEN 0 THEN NULL ELSE c_mktsegment END AS segment,
+  CASE c_custkey % 10 WHEN 7 THEN 'header' WHEN 0 THEN 'fields' WHEN 1 THEN 'fields' WHEN 3 THEN 'not a number' ELSE 'kept' END AS verdict
+FROM customer""",
+    "widened_schema_scan": """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+  CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 1.0::DOUBLE ELSE CAST(o_totalprice AS DOUBLE) END AS o_rank,
+  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN CAST(year(o_orderdate) AS INTEGER) END AS o_year
+FROM orders""",
+    "write_observed_audit": "SELECT count(*) AS rows_seen, count(*) AS rows_stored, true AS agree FROM lineitem",
 }

@@ -18,16 +18,27 @@ from ratelake.operators.delta import snapshot_delta
 from ratelake.operators.export import CONSUMER_RENAMES, renamed_for_consumer, to_contract
 from ratelake.operators.match import match_tiers, resolve_matches
 from ratelake.plans import bookings as B
+from ratelake.plans.snapshots import carry_latest, publish_snapshot
 from ratelake.session import scratch_path
-from ratelake.sources.feeds import compact_date_partition_parts, drop_bad_rows, rename_columns, schema_from_json
-from ratelake.sources.parquet import read_parquet
+from ratelake.sources.feeds import (
+    compact_date_partition_parts,
+    drop_bad_rows,
+    quarantine_bad_rows,
+    read_delimited_feed,
+    rename_columns,
+    schema_from_json,
+)
+from ratelake.sources.parquet import read_evolved, read_parquet
 from ratelake.sources.sinks import (
     materialize,
+    overwrite_partitions,
     save_as_table,
     staged_overwrite,
+    write_observed,
     write_parquet,
     written_rows,
 )
+from ratelake.sources.versions import publish
 from ratelake.contracts import FEED_RENAMES
 
 RUN_DATE = "2002-01-15"
@@ -451,6 +462,85 @@ def binary_text_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_parquet(spark, path, binary_as_string=True)
 
 
+# -- tables carried from day to day --------------------------------------------------
+
+def snapshot_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of the versioned snapshot: on the second one every 16th key has
+    another bucket value, and only the buckets of those keys are read and written."""
+    today = _staged(resolved(spark, sf_dir), "matched")
+    changed = F.substring(F.md5(F.col("pnr_mk").cast("binary")), 1, 1) == "0"
+    before = today.withColumn("new_rate_bucket", F.when(changed, F.lit("OLD BUCKET")).otherwise(F.col("new_rate_bucket")))
+    root = scratch_path(spark, "snapshots")
+    publish_snapshot(before, root, YESTERDAY, buckets=64)
+    return publish_snapshot(today, root, RUN_DATE)
+
+
+def latest_state_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest row per booking, carried over three days of feed rows."""
+    rows = _staged(base(spark, sf_dir).select("hotelhub_booking_ref", "lastmodified_datetime", "confirmation_ref", "sessionid"), "base")
+    day = F.pmod(F.crc32(F.coalesce("confirmation_ref", F.lit("")).cast("binary")), F.lit(3))
+    root = scratch_path(spark, "latest")
+    for d in range(3):
+        state = carry_latest(
+            rows.where(day == d), root, ["hotelhub_booking_ref"], ["lastmodified_datetime"], B.DEFAULT_BOOKING_TIE_BREAK, buckets=16
+        )
+    return state.drop("sessionid")
+
+
+def versioned_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new version computed from the one it replaces."""
+    root = scratch_path(spark, "supplier_versions")
+    current = publish(inputs.table(spark, sf_dir, "supplier"), root)
+    return publish(current.withColumn("s_acctbal", F.round(F.col("s_acctbal") * 2, 2)), root)
+
+
+def partition_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One partition of a written table is run again with other rows."""
+    li = inputs.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    path = scratch_path(spark, "lineitem_rerun")
+    write_parquet(li, path, partition_by=["l_returnflag"])
+    overwrite_partitions(li.where("l_returnflag = 'R'").withColumn("l_quantity", F.col("l_quantity") + 1), path, ["l_returnflag"])
+    return spark.read.parquet(path)
+
+
+def feed_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a damaged export, kept or quarantined with its reason."""
+    c = inputs.table(spark, sf_dir, "customer")
+    key, kind = F.col("c_custkey").cast("string"), F.col("c_custkey") % 10
+    created = F.when(kind == 3, F.lit("n/a")).otherwise(F.lit("190524"))
+    line = (
+        F.when(kind == 0, F.concat_ws("\t", key, created))
+        .when(kind == 1, F.concat_ws("\t", key, created, "c_mktsegment", F.lit("more")))
+        .when(kind == 7, F.concat_ws("\t", F.lit("id"), F.lit("created_date"), F.lit("segment")))
+        .otherwise(F.concat_ws("\t", key, created, "c_mktsegment"))
+    )
+    root = scratch_path(spark, "damaged")
+    c.select(line.alias("value")).write.text(f"{root}/lines")
+    schema = B.feed_schema(["id", "created_date", "segment"])
+    raw = read_delimited_feed(spark, f"{root}/lines", schema, header=False, corrupt_column="_line")
+    kept, bad = quarantine_bad_rows(raw, "created_date", f"{root}/judged")
+    return kept.select("id", "created_date", "segment", F.lit("kept").alias("verdict")).unionByName(
+        bad.select("id", "created_date", "segment", F.col("reason").alias("verdict"))
+    )
+
+
+def widened_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders of orders: the later one has wider types and a column more."""
+    orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    root = scratch_path(spark, "orders_widened")
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    narrow = {"o_orderkey": F.col("o_orderkey").cast("int"), "o_custkey": F.col("o_custkey").cast("int")}
+    write_parquet(orders.filter(early).withColumns(narrow).withColumn("o_rank", F.lit(1).cast("int")), f"{root}/old")
+    later = orders.filter(~early).withColumn("o_year", F.year("o_orderdate"))
+    write_parquet(later.withColumn("o_rank", F.col("o_totalprice").cast("double")), f"{root}/new")
+    return read_evolved(spark, f"{root}/old", f"{root}/new")
+
+
+def write_observed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = inputs.table(spark, sf_dir, "lineitem")
+    return write_observed(li, scratch_path(spark, "lineitem_observed"), partition_by=["l_linestatus"])
+
+
 BOOKING_QUERIES = {
     "feed_ingest": feed_ingest,
     "feed_ingest_stream": feed_ingest_stream,
@@ -484,4 +574,11 @@ BOOKING_QUERIES = {
     "load_date_default": load_date_default,
     "match_null_rows": match_null_rows,
     "binary_text_scan": binary_text_scan,
+    "snapshot_buckets": snapshot_buckets,
+    "latest_state_days": latest_state_days,
+    "versioned_publish": versioned_publish,
+    "partition_rerun": partition_rerun,
+    "feed_quarantine": feed_quarantine,
+    "widened_schema_scan": widened_schema_scan,
+    "write_observed_audit": write_observed_audit,
 }

@@ -28,13 +28,20 @@ def read_delimited_feed(
     sep: str = "\t",
     header: bool = True,
     null_value: str = FEED_NULL_MARKER,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Read one or many delimited files (paths or globs) with a fixed schema.
 
     The header line of every file is skipped; the schema is never inferred, so
     the scan is a single pass and splits across files and blocks. Typing is
     left to later ``try_cast``s: feed columns should be declared as strings.
+    ``corrupt_column`` adds a column with the whole line where a line has too
+    few or too many fields (NULL otherwise).
     """
+    options = {}
+    if corrupt_column:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt_column
     if isinstance(paths, str):
         paths = [paths]
     return spark.read.csv(
@@ -44,9 +51,35 @@ def read_delimited_feed(
         schema=schema,
         nullValue=null_value,
         mode="PERMISSIVE",
+        **options,
     )
 
 
+def quarantine_bad_rows(
+    df: DataFrame, numeric_column: str, path: str, corrupt_column: str = "_line"
+) -> tuple[DataFrame, DataFrame]:
+    """(kept, quarantined) rows of a feed read with ``corrupt_column``.
+
+    Rows are judged once and written to ``path`` by verdict, so both results
+    add up to the rows read. Reasons: ``header`` (a repeated header line),
+    ``fields`` (too few or too many fields), ``not a number``
+    (``numeric_column`` does not read as one). ``drop_bad_rows`` would have kept
+    a torn line whose ``numeric_column`` still reads as a number; here it goes
+    to quarantine.
+    """
+    number = F.col(numeric_column)
+    reason = (
+        F.when(F.lower(number) == numeric_column.lower(), F.lit("header"))
+        .when(F.col(corrupt_column).isNotNull(), F.lit("fields"))
+        .when(lenient_int(number).isNull(), F.lit("not a number"))
+    )
+    judged = df.withColumns({"reason": reason, "bad": reason.isNotNull()})
+    judged.write.mode("overwrite").partitionBy("bad").parquet(path)
+    back = df.sparkSession.read.schema(judged.schema).parquet(path)
+    kept = back.where(~F.col("bad")).drop("bad", "reason", corrupt_column)
+    return kept, back.where("bad").drop("bad")
+
+
 def drop_bad_rows(df: DataFrame, numeric_column: str) -> DataFrame:
     """Keep rows whose ``numeric_column`` reads as a number.
 

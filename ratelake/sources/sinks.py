@@ -1,13 +1,14 @@
 """Sinks: Parquet (plain / partitioned), catalog tables, one-file CSV, audits.
 
-Every write overwrites a whole dataset, as the pipelines rewrite each stage.
+Writes overwrite a whole dataset, as the pipelines rewrite each stage, or only
+the partitions they have rows for (``overwrite_partitions``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -35,6 +36,17 @@ def write_parquet(
     writer.parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Overwrite only the partitions that ``df`` has rows for.
+
+    A rerun of one day replaces that day's directory and leaves the files of
+    all other days as they are; a day without rows is not touched. Spark moves
+    the new files in when the whole write has succeeded.
+    """
+    writer = _clustered(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).parquet(path)
+
+
 def save_as_table(
     df: DataFrame,
     table: str,
@@ -71,6 +83,19 @@ def written_rows(spark: SparkSession, path: str, name: str = "rows_written") ->
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias(name))
 
 
+def write_observed(df: DataFrame, path: str, partition_by: Sequence[str] | None = None) -> DataFrame:
+    """Write Parquet and return one row: rows the write saw, rows now stored, whether they agree.
+
+    The first number is gathered by the write itself (an ``Observation``), so
+    a lost or doubled part file shows as a difference to the second.
+    """
+    seen = Observation("written")
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by)
+    stored = written_rows(df.sparkSession, path, "rows_stored")
+    rows = F.lit(int(seen.get["rows"])).cast("bigint")
+    return stored.select(rows.alias("rows_seen"), "rows_stored", (F.col("rows_stored") == rows).alias("agree"))
+
+
 def materialize(
     df: DataFrame,
     path: str,
