@@ -22,13 +22,13 @@ stands, or where the last match ended), so they find the same leftmost
 matches in linear time on long runs.
 
 Defined cases: NULL text counts as empty and has no spans; repeated rows are
-judged row by row; rows of one doc_id with different texts share their set of
-revealing terms; an empty table gives an empty result.
+judged row by row; what reveals is a matter of the term alone, so every text
+that holds it gets its spans; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged
@@ -119,30 +119,29 @@ def _found(text: Column, pattern: str, kind: str, when: Column) -> Column:
 
 
 def _replaced(text: Column, spans: Column) -> Column:
-    """``text`` with each span replaced by its kind, at its place only; of spans
-    that overlap the later one stands for what is left of it."""
-    piece = "struct<start:bigint,end:bigint,kind:string>"
+    """``text`` with each span (start, end, tag) replaced by its tag, at its place
+    only; of spans that overlap the later one stands for what is left of it."""
+    piece = "struct<start:bigint,end:bigint,tag:string>"
 
     def step(acc: Column, x: Column) -> Column:
-        left = F.struct(F.greatest(x["start"], acc["pos"]).alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))
+        left = F.struct(F.greatest(x["start"], acc["pos"]).alias("start"), x["end"].alias("end"), x["tag"].alias("tag"))
         more = F.when(x["end"] > acc["pos"], F.array(left)).otherwise(F.array().cast(f"array<{piece}>"))
         return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), F.concat(acc["spans"], more).alias("spans"))
 
     # By start, the longer one first.
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
-    ordered = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end"), s["kind"].alias("kind")))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["tag"].alias("tag"))))
+    ordered = F.transform(ordered, lambda s: F.struct(s["start"].alias("start"), (-s["back"]).alias("end"), s["tag"].alias("tag")))
     cut = _walk(ordered, step, f"array<{piece}>")
     before = lambda c: F.concat(F.array(F.lit(0).cast("bigint")), F.transform(c, lambda s: s["end"]))
 
     def joined(held: Column) -> Column:
-        # Each piece of text between two spans, then the kind of the second one.
+        # Each piece of text between two spans, then the tag of the second one.
         upto = F.arrays_zip(held["cut"].alias("s"), before(held["cut"]).alias("before"))
         between = lambda a, n: F.array_join(F.slice(held["chars"], (a + 1).cast("int"), n.cast("int")), "")
 
         def part(x: Column) -> Column:
             rest = between(x["before"], F.size(held["chars"]) - x["before"])
-            tag = F.concat(F.lit("["), F.upper(x["s"]["kind"]), F.lit("]"))
-            return F.when(x["s"].isNull(), rest).otherwise(F.concat(between(x["before"], x["s"]["start"] - x["before"]), tag))
+            return F.when(x["s"].isNull(), rest).otherwise(F.concat(between(x["before"], x["s"]["start"] - x["before"]), x["s"]["tag"]))
 
         return F.array_join(F.transform(upto, part), "")
 
@@ -187,15 +186,18 @@ def _near_copies(texts: DataFrame) -> DataFrame:
     return components(links).withColumnRenamed("node", "copy")
 
 
+def _words(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(c), F.lit(TERM), F.lit(0))
+
+
 def revealing_terms(
     docs: DataFrame,
-    doc_id: str = "doc_id",
     text: str = "text",
     base: DataFrame | None = None,
     threshold: float = 0.8,
     min_support: int = 3,
 ) -> DataFrame:
-    """(doc_id, terms): per document the terms that give a protected value away.
+    """(term, disclosure): the terms that give a protected value away.
 
     Every count runs over all documents. Pairs (value, term) are counted only
     for values in at least ``min_support`` different texts, as others cannot
@@ -221,82 +223,82 @@ def revealing_terms(
     rows = rows.groupBy("value", "c_e", "term", "evidence").agg(F.sum("k").alias("k"))
     pairs = rows.groupBy("value", "c_e", "term").agg(F.sum("k").alias("c_te"), F.count("*").alias("support"))
     pairs = staged(pairs.where(F.col("support") >= min_support), "pii-pairs")
-    words = lambda c: F.array_distinct(F.regexp_extract_all(F.lower(c), F.lit(TERM), F.lit(0)))
-    terms = pairs.select("term").distinct()
-    hits = (
-        docs.where(F.col(text).isNotNull())
-        .select(F.col(doc_id).alias("doc_id"), F.explode(words(F.col(text))).alias("term"))
-        .join(terms, "term", "left_semi")
-    )
-    hits = staged(hits, "pii-hits")  # (document, term) for terms that may reveal something
-    seen = hits.groupBy("term").agg(F.count("*").alias("c_t"))
+    # Documents per term, of all terms, summed up in each task first.
+    held = docs.where(F.col(text).isNotNull()).select(F.explode(F.array_distinct(_words(F.col(text)))).alias("term"))
+    seen = held.groupBy("term").agg(F.count("*").alias("c_t"))
     total = F.lit(float(n))
     pmi = F.log(F.col("c_te") * total / (F.col("c_t") * F.col("c_e")))
     info = F.log(total / F.col("c_e"))
     score = F.when(info > 0, pmi / info).otherwise(0.0)
-    revealing = pairs.join(seen, "term").where(score >= threshold).groupBy("term").agg(F.max(score).alias("disclosure"))
-    return hits.join(revealing, "term").groupBy("doc_id").agg(F.collect_set(F.struct("term", "disclosure")).alias("terms"))
+    return pairs.join(seen, "term").where(score >= threshold).groupBy("term").agg(F.max(score).alias("disclosure"))
 
 
 def _term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, copy, terms): where documents hold their revealing terms.
+    """(doc_id, copy, terms): where texts hold revealing terms.
 
-    Words and the pieces between them become rows and a running sum over one
-    text gives positions, so cost follows the length of the text.
+    A text's words become rows with their places, and those of revealing terms
+    stay; no text is shuffled, and repeated rows fall together.
     """
-    own = texts.join(terms.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "copy"])
     m = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
-    pieces = F.arrays_zip(m.alias("m"), F.split("text", TERM, -1).alias("g"))
-    rows = own.select("doc_id", "copy", F.posexplode(pieces).alias("i", "p")).where("p.m IS NOT NULL")
-    upto = Window.partitionBy("doc_id", "copy").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.char_length("p.g") + F.char_length("p.m")).over(upto)
-    rows = rows.select("doc_id", "copy", F.col("p.m").alias("value"), F.lower("p.m").alias("term"), end.alias("end"))
-    flat = terms.select("doc_id", F.explode("terms.term").alias("term"))
-    start = F.col("end") - F.char_length("value")
-    span = F.struct(F.lit("term").alias("kind"), start.alias("start"), "end", "value")
-    found = rows.join(flat, ["doc_id", "term"]).groupBy("doc_id", "copy").agg(F.collect_list(span).alias("terms"))
-    return found.select("doc_id", "copy", F.array_sort("terms", lambda x, y: (x["start"] - y["start"]).cast("int")).alias("terms"))
+    pieces = F.arrays_zip(m.alias("m"), F.slice(F.split("text", TERM, -1), F.lit(1), F.size(m)).alias("g"))
 
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["pos"] + F.char_length(x["g"])
+        end = start + F.char_length(x["m"])
+        span = F.struct(F.lit("term").alias("kind"), start.alias("start"), end.alias("end"), x["m"].alias("value"))
+        return F.struct(end.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-def find_personal_data(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, min_support: int = 3
-) -> DataFrame:
-    """(doc_id, base, terms): base spans and spans of revealing terms.
+    words = texts.where(F.col("text").rlike(TERM)).select("doc_id", "copy", F.explode(_walk(pieces, step)).alias("s"))
+    found = words.withColumn("term", F.lower("s.value")).join(terms, "term")
+    span = F.struct("s.start", "s.end", "s.value", "disclosure")
+    found = found.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set(span)).alias("terms"))
+    kind = lambda t: F.struct(F.lit("term").alias("kind"), t["start"], t["end"], t["value"], t["disclosure"])
+    return found.withColumn("terms", F.transform("terms", kind))
 
-    Texts are read three times (patterns, term counts, spans of documents with
-    revealing terms) and never shuffled whole: only ids, spans and terms are.
-    """
+
+def _all_spans(docs: DataFrame, doc_id: str, text: str, threshold: float, min_support: int) -> DataFrame:
+    """(doc_id, copy, base, terms) of every row; terms with their disclosure, outside of base spans."""
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = texts.withColumn("copy", F.xxhash64("text"))
     base = base_spans(texts)
     stored = base.select("doc_id", "copy", "base", F.when(F.size("base") > 0, F.col("text")).alias("text"))
     stored = staged(stored, "pii-base")
-    terms = revealing_terms(docs, doc_id, text, base=stored, threshold=threshold, min_support=min_support)
-    terms = staged(terms, "pii-terms")
-    spans = _term_spans(texts, terms)
-    out = stored.select("doc_id", "copy", "base").join(staged(spans, "pii-spans"), ["doc_id", "copy"], "left")
+    terms = staged(revealing_terms(texts, "text", base=stored, threshold=threshold, min_support=min_support), "pii-terms")
+    spans = staged(_term_spans(texts, terms), "pii-spans").select(F.col("doc_id").alias("_i"), F.col("copy").alias("_c"), "terms")
+    out = stored.select("doc_id", "copy", "base").join(spans, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("copy") == F.col("_c")), "left")
     inside = lambda t: F.exists("base", lambda b: (t["start"] < b["end"]) & (b["start"] < t["end"]))
-    terms = F.filter("terms", lambda t: ~inside(t))
-    return out.select("doc_id", "base", F.coalesce(terms, F.array().cast(f"array<{_SPAN}>")).alias("terms"))
+    terms = F.coalesce(F.filter("terms", lambda t: ~inside(t)), F.array().cast(spans.schema["terms"].dataType))
+    return out.select("doc_id", "copy", "base", terms.alias("terms"))
+
 
+def find_personal_data(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.8, min_support: int = 3
+) -> DataFrame:
+    """(doc_id, base, terms): base spans and spans of revealing terms.
 
-def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", remove_at: float = 0.95, **options) -> DataFrame:
+    Texts are read three times (patterns, term counts, places of terms) and
+    never shuffled whole: only ids, spans and terms are.
+    """
+    out = _all_spans(docs, doc_id, text, threshold, min_support)
+    plain = lambda t: F.struct(t["kind"].alias("kind"), t["start"].alias("start"), t["end"].alias("end"), t["value"].alias("value"))
+    return out.select("doc_id", "base", F.transform("terms", plain).alias("terms"))
+
+
+def sanitise(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", remove_at: float = 0.95, threshold: float = 0.8, min_support: int = 3
+) -> DataFrame:
     """``docs`` with personal data replaced by its kind and revealing terms
-    generalised to their first letter (or removed at ``remove_at`` and over)."""
-    terms = revealing_terms(docs, doc_id, text, **options).withColumnRenamed("doc_id", "_i")
-    base = base_spans(docs, text)
-    plain = _replaced(F.coalesce(F.col(text), F.lit("")), F.col("base"))
-    out = base.withColumn("_p", plain).join(terms, F.col(doc_id) == F.col("_i"), "left")
-    cut = F.aggregate(
-        F.coalesce(F.col("terms"), F.array().cast("array<struct<term:string,disclosure:double>>")),
-        F.col("_p"),
-        lambda acc, t: F.regexp_replace(
-            acc,
-            F.concat(F.lit(r"(?iu)(?<!\p{L})"), t["term"], F.lit(r"(?!\p{L})")),
-            F.when(t["disclosure"] >= remove_at, F.lit("[TERM]")).otherwise(F.concat(F.substring(t["term"], 1, 1), F.lit("."))),
-        ),
-    )
-    return out.withColumn(text, F.when(F.col(text).isNotNull(), cut)).drop("_p", "_i", "terms", "base")
+    generalised to their first letter (or removed at ``remove_at`` and over),
+    each at its place."""
+    spans = _all_spans(docs, doc_id, text, threshold, min_support)
+    spans = spans.groupBy(F.col("doc_id").alias("_i"), F.col("copy").alias("_c")).agg(F.first("base").alias("_b"), F.first("terms").alias("_t"))
+    span = lambda s, tag: F.struct(s["start"].alias("start"), s["end"].alias("end"), tag.alias("tag"))
+    base = F.transform("_b", lambda s: span(s, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+    cut = lambda t: F.when(t["disclosure"] >= remove_at, F.lit("[TERM]")).otherwise(F.concat(F.substring(t["value"], 1, 1), F.lit(".")))
+    terms = F.transform("_t", lambda t: span(t, cut(t)))
+    plain = F.coalesce(F.col(text), F.lit(""))
+    out = docs.join(spans, F.col(doc_id).eqNullSafe(F.col("_i")) & (F.xxhash64(plain) == F.col("_c")), "left")
+    return out.withColumn(text, F.when(F.col(text).isNotNull(), _replaced(plain, F.concat(base, terms)))).drop("_i", "_c", "_b", "_t")
 
 
 def digest_rows(found: DataFrame) -> DataFrame:
