@@ -16,7 +16,9 @@ one node. Under each key all nodes are first held against one node of the key
 (two rounds, different choices), pairs are confirmed on full sets, and
 confirmed links joined to components. Only then nodes under one key that are
 still in different components are held against each other, and of those only
-nodes whose shingles found in any other such node would suffice. So no pair
+nodes whose shingles found in any other such node would suffice. These nodes
+get a second, longer signature, by which a pair that is far below the
+similarity (5 standard deviations) is left out before it is written. So no pair
 inside a group that already hangs together is made, and no link that could
 join two components is left out.
 
@@ -36,21 +38,45 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged
 from ratelake.llm.components import components
 from ratelake.llm.text import Words, map_texts, mix64, shingles
 
+#: Values of the second signature, of nodes left after the first rounds.
+FINE = 512
+#: Ids of nodes that are not named by a document lie from here on.
+UNNAMED = 1 << 62
 #: Values of a chunk; highest chance that a pair at the similarity shares no key;
 #: lowest percent (chunks needed grow steeply below).
 WIDTH, MISSED, LEAST = 6, 1e-5, 50
 
 
+def _far(values: int, p: float) -> int:
+    """From how many differing values on a pair does not reach ``p`` (5 standard deviations)."""
+    return math.ceil(values * (1 - p) + 5 * math.sqrt(values * p * (1 - p))) + 1
+
+
+def _factors(values: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(seed)
+    a = rng.integers(1, 1 << 62, values, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return a, rng.integers(0, 1 << 62, values, dtype=np.uint64)
+
+
+def _signature(flat: np.ndarray, at: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """16 bits of the lowest hash of each set (sets start at ``at``) under each (a, b)."""
+    sig = np.zeros((len(at), len(a)), np.uint16)
+    for i in range(len(a)):
+        low = np.minimum.reduceat((flat * a[i] + b[i]) >> np.uint64(16), at)
+        sig[:, i] = (low & np.uint64(0xFFFF)).astype(np.uint16)
+    return sig
+
+
 class Plan(NamedTuple):
     """Signature for a similarity: chunks, hash factors, and from how many
-    differing values on pairs do not reach it (5 standard deviations)."""
+    differing values on pairs do not reach it."""
 
     chunks: int
     values: int
@@ -68,7 +94,7 @@ def plan_for(percent: int) -> Plan:
     lost = 1 - p**WIDTH - WIDTH * (1 - p) * p ** (WIDTH - 1)  # more than one error in a chunk
     chunks = max(1, math.ceil(math.log(MISSED) / math.log(lost))) if lost > 1e-12 else 1
     values = chunks * WIDTH
-    far = math.ceil(values * (1 - p) + 5 * math.sqrt(values * p * (1 - p))) + 1
+    far = _far(values, p)
     rng = np.random.default_rng(20240229)
     a = rng.integers(1, 1 << 62, values, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 1 << 62, values, dtype=np.uint64)
@@ -85,32 +111,28 @@ def _sets(texts: pa.Array, k: int) -> list[np.ndarray]:
     return [np.unique(h[off[d] : off[d + 1]]) for d in range(words.n_docs)]
 
 
+def _fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sizes and two fingerprints of sets; their elements in a row and where the full ones start."""
+    n = np.array([len(s) for s in sets], np.int64)
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    at = np.concatenate([[0], np.cumsum(n)])[np.flatnonzero(n)]
+    a, b = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
+    if len(at):
+        a[n > 0] = np.add.reduceat(mix64(flat ^ np.uint64(0x5BD1E995)), at)
+        b[n > 0] = np.add.reduceat(mix64(flat + np.uint64(0x27D4EB2F)), at)
+    return n, a.view(np.int64), b.view(np.int64), flat, at
+
+
 def describe(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str = "text", k: int = 5) -> DataFrame:
     """Per document: set size, two fingerprints of the set, signature."""
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        sets = _sets(part.column(1), k)
-        n = np.array([len(s) for s in sets], np.int64)
-        off = np.concatenate([[0], np.cumsum(n)])
-        flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        full = np.flatnonzero(n)
+        n, a, b, flat, at = _fingerprints(_sets(part.column(1), k))
         sig = np.zeros((len(n), plan.values), np.uint16)
-        a, b = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
-        if len(full):
-            at = off[full]
-            for i in range(plan.values):
-                low = np.minimum.reduceat((flat * plan.a[i] + plan.b[i]) >> np.uint64(16), at)
-                sig[full, i] = (low & np.uint64(0xFFFF)).astype(np.uint16)
-            a[full] = np.add.reduceat(mix64(flat ^ np.uint64(0x5BD1E995)), at)
-            b[full] = np.add.reduceat(mix64(flat + np.uint64(0x27D4EB2F)), at)
+        if len(at):
+            sig[n > 0] = _signature(flat, at, plan.a, plan.b)
         return pa.RecordBatch.from_arrays(
-            [
-                part.column(0),
-                pa.array(n),
-                pa.array(a.view(np.int64)),
-                pa.array(b.view(np.int64)),
-                pa.array([r.tobytes() for r in sig], pa.binary()),
-            ],
+            [part.column(0), pa.array(n), pa.array(a), pa.array(b), pa.array([r.tobytes() for r in sig], pa.binary())],
             names=["doc_id", "n_shingles", "set_a", "set_b", "sig"],
         )
 
@@ -118,6 +140,16 @@ def describe(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str = "t
     return rows.mapInArrow(map_texts(run), _DESCRIBED)
 
 
+def _named(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (set_a, set_b, n_shingles, rep, ...) with ``node``: the id of the
+    smallest document that has the set, or, where that one names another set
+    already (it has several texts), a number from ``UNNAMED`` on."""
+    print_ = F.struct("set_a", "set_b", "n_shingles")
+    first = nodes.groupBy("rep").agg(F.min(print_).alias("_f"))
+    other = F.xxhash64("set_a", "set_b", "n_shingles").bitwiseAND(F.lit(UNNAMED - 1)) + F.lit(UNNAMED)
+    return nodes.join(first, "rep").withColumn("node", F.when(F.col("_f") == print_, F.col("rep")).otherwise(other)).drop("_f")
+
+
 def chunk_keys(nodes: DataFrame, plan: Plan) -> DataFrame:
     """(node, keys): every chunk of a signature without each of its values, a key each."""
 
@@ -139,23 +171,28 @@ def chunk_keys(nodes: DataFrame, plan: Plan) -> DataFrame:
     return nodes.select("node", "sig").mapInArrow(run, "node bigint, keys array<bigint>")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
-    """(node, s): the full shingle sets of the wanted documents."""
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("node"), F.col(text).cast("string").alias("text"))
-    rows = rows.join(wanted.select("node"), "node", "left_semi")
+def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
+    """(node, s): the full shingle sets of the wanted nodes."""
+    wanted = staged(nodes.join(wanted, "node", "left_semi").select("node", "rep", "set_a", "set_b", "n_shingles"), "dup-wanted")
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).cast("string").alias("text"))
+    rows = rows.join(wanted.select("rep"), "rep", "left_semi").select("text")
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
-        sets = _sets(part.column(part.schema.get_field_index("text")), k)
-        node = part.column(part.schema.get_field_index("node"))
-        return pa.RecordBatch.from_arrays([node, pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "s"])
+        sets = _sets(part.column(0), k)
+        n, a, b, _, _ = _fingerprints(sets)
+        made = [pa.array(n), pa.array(a), pa.array(b), pa.array([s.tobytes() for s in sets], pa.binary())]
+        return pa.RecordBatch.from_arrays(made, names=["n_shingles", "set_a", "set_b", "s"])
 
-    return rows.mapInArrow(map_texts(run), "node bigint, s binary").distinct()
+    # A document may have several texts: each set goes to the node it belongs to.
+    sets = rows.mapInArrow(map_texts(run), "n_shingles bigint, set_a bigint, set_b bigint, s binary")
+    named = sets.join(wanted.drop("rep"), ["set_a", "set_b", "n_shingles"]).select("node", "s")
+    return named.dropDuplicates(["node"])
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> DataFrame:
+def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> DataFrame:
     """The (u, v) pairs whose full sets reach ``percent``: 100 * shared >= percent * union."""
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = staged(_full_sets(docs, staged(wanted, "dup-wanted"), doc_id, text, k), "dup-sets")
+    sets = staged(_full_sets(docs, nodes, wanted, doc_id, text, k), "dup-sets")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("s").alias("su")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v"
     )
@@ -184,11 +221,9 @@ def near_duplicates(
     plan = plan_for(percent)
     described = staged(describe(docs, plan, doc_id, text, k), "dup-described")
     full = described.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    # Documents with equal sets are one node, named by their smallest id.
-    nodes = full.groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("node"), F.first("sig").alias("sig")
-    )
-    nodes = staged(nodes, "dup-nodes")
+    # Documents with equal sets are one node.
+    nodes = full.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
+    nodes = staged(_named(nodes), "dup-nodes")
     keys = chunk_keys(nodes, plan).select("node", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("key")
     members = staged(keys.join(shared, "key"), "dup-members")
@@ -196,7 +231,7 @@ def near_duplicates(
         nodes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"]
     ).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     links, tested = same.where("u != v"), None
-    label = None
+    label = fine = None
     for round_ in range(5):
         rows = members.withColumn("component", F.col("node"))
         if label is not None:
@@ -204,7 +239,8 @@ def near_duplicates(
             split = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
             rows = staged(rows.join(split.select("key"), "key", "left_semi"), "dup-split")
         if round_ == 2:
-            rows = staged(_able(rows, nodes, docs, percent, doc_id, text, k), "dup-able")
+            able, fine = _able(rows, nodes, docs, percent, doc_id, text, k)
+            rows = staged(able, "dup-able")
             members = rows.drop("component")
         if round_ < 4:
             # First one node for as many keys as possible, then another one per key:
@@ -214,6 +250,8 @@ def near_duplicates(
             pairs = rows.join(hub, "key").where("component != hub.component").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
         else:
             pairs = _across(rows, nodes, percent)
+        if fine is not None:
+            pairs = _near(pairs.distinct(), fine, percent)
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
@@ -224,7 +262,7 @@ def near_duplicates(
             if round_ in (0, 4) or rows.isEmpty():
                 break
             continue
-        found = staged(confirm(docs, pairs, percent, doc_id, text, k), f"dup-links{round_}")
+        found = staged(confirm(docs, nodes, pairs, percent, doc_id, text, k), f"dup-links{round_}")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = links.unionByName(found)
         label = staged(components(links), f"dup-labels{round_}")
@@ -233,14 +271,15 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> DataFrame:
-    """``rows`` of nodes that can still be similar to another one, with bounds.
+def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> tuple[DataFrame, DataFrame]:
+    """``rows`` of nodes that can still be similar to another one, with bounds, and
+    (node, sig): their second signatures.
 
     A shingle that no other of these nodes holds is in no intersection. What is
     left of a set bounds all its intersections, which rules out most members of
     a loose group (copies with edits of their own) before pairs are made.
     """
-    sets = _full_sets(docs, staged(rows.select("node").distinct(), "dup-wanted"), doc_id, text, k)
+    sets = staged(_full_sets(docs, nodes, rows.select("node").distinct(), doc_id, text, k), "dup-left")
 
     def flat(batches):
         for b in batches:
@@ -253,17 +292,44 @@ def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_
     alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
     size = nodes.select("node", F.col("n_shingles").alias("n")).join(alone, "node", "left")
     size = size.select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
-    # A document that repeats its id has several sets: no bound for it.
-    size = size.withColumn("most", F.when(F.col("most") < 0, F.col("n")).otherwise(F.col("most")))
     able = rows.join(size, "node").where(100 * F.col("most") >= percent * F.col("n"))
-    return able.select("key", "node", "component", "n", "most")
+    able = staged(able.select("key", "node", "component", "n", "most"), "dup-bounds")
+    a, b = _factors(FINE, 20240301)
+
+    def sign(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                sets_ = [np.frombuffer(s.as_buffer(), np.uint64) for s in part.column(1)]
+                at = np.concatenate([[0], np.cumsum([len(s) for s in sets_])])[:-1]
+                sig = _signature(np.concatenate(sets_), at, a, b)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in sig], pa.binary())], names=["node", "sig"])
+
+    left = sets.join(able.select("node").distinct(), "node", "left_semi")
+    return able, staged(left.mapInArrow(sign, "node bigint, sig binary"), "dup-fine")
+
+
+def _near(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
+    """The (u, v) pairs whose second signatures are near enough."""
+    far = _far(FINE, percent / 100)
+    both = pairs.join(fine.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(
+        fine.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v"
+    )
+
+    def run(batches):
+        for b in batches:
+            for i in range(0, b.num_rows, 2048):
+                part = b.slice(i, 2048)
+                p, q = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(-1, FINE) for c in (2, 3))
+                yield part.select([0, 1]).filter(pa.array((p != q).sum(axis=1) < far))
+
+    return both.select("u", "v", "su", "sv").mapInArrow(run, "u bigint, v bigint")
 
 
 def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes under one key but in different components, within their
-    bounds and near by signature; each pair under the first key it shares only."""
-    plan = plan_for(percent)
-    own = chunk_keys(nodes.join(able.select("node").distinct(), "node", "left_semi"), plan)
+    bounds; each pair under the first key it shares only."""
+    own = chunk_keys(nodes.join(able.select("node").distinct(), "node", "left_semi"), plan_for(percent))
     rows = able.join(own, "node")
     rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.array_position("keys", F.col("key")).cast("int") - 1)).drop("keys")
     a, b = rows.alias("a"), rows.alias("b")
@@ -271,24 +337,16 @@ def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     near = 100 * shared >= percent * (F.col("a.n") + F.col("b.n") - shared)
     first = ~F.coalesce(F.arrays_overlap("a.before", "b.before"), F.lit(False))
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & near & first)
-    pairs = pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
-    sig = nodes.select("node", "sig")
-    pairs = pairs.join(sig.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(
-        sig.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v"
-    )
-
-    def run(batches):
-        for b in batches:
-            if b.num_rows:
-                p, q = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint16).reshape(-1, plan.values) for i in (2, 3))
-                yield b.select([0, 1]).filter(pa.array((p != q).sum(axis=1) < plan.far))
-
-    return pairs.select("u", "v", "su", "sv").mapInArrow(run, "u bigint, v bigint")
+    return pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """One document of each group, all its columns; rows that repeat the kept id collapse to one, rows without an id stay."""
     found = near_duplicates(docs, doc_id, text, percent).where("kept AND doc_id IS NOT NULL")
     kept = found.select(F.col("doc_id").cast(docs.schema[doc_id].dataType).alias(doc_id)).distinct()
-    one = docs.join(kept, doc_id, "left_semi").dropDuplicates([doc_id]).select(docs.columns)
+    one = docs.join(kept, doc_id, "left_semi")
+    # Of several texts of one id the one with the smallest digest stays, whatever the order of rows.
+    digest = F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"), 256)
+    first = F.row_number().over(Window.partitionBy(doc_id).orderBy(digest))
+    one = one.withColumn("__first", first).where("__first = 1").select(docs.columns)
     return one.unionByName(docs.where(F.col(doc_id).isNull()))

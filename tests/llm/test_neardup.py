@@ -128,3 +128,60 @@ def test_signature_follows_percent():
     assert neardup.plan_for(85).chunks == 8 and neardup.plan_for(85).far == 21
     with pytest.raises(ValueError):
         neardup.plan_for(30)
+
+
+def loose_group(rng, n, size=146, edits=(4, 9)):
+    """Texts alike but mostly below the threshold: one base, each with edits of its own choice of words."""
+    words = [f"w{i}" for i in range(40)]
+    base = [rng.choice(words) for _ in range(size)]
+    out = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(rng.randint(*edits)):
+            w[rng.randrange(size)] = rng.choice(words)
+        out.append(" ".join(w))
+    return out
+
+
+def test_loose_group_reaches_the_last_round(spark, monkeypatch):
+    """Ids with two texts in a group whose links are left for the last round."""
+    rng = random.Random(11)
+    texts = loose_group(rng, 160, size=90, edits=(1, 5))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    other = loose_group(rng, 60, size=30, edits=(1, 2))
+    rows += [(i, t) for i, t in enumerate(other)]  # the same ids again, with another text
+    reached = []
+    plain = neardup._across
+    monkeypatch.setattr(neardup, "_across", lambda *a: reached.append(1) or plain(*a))
+    docs = frame(spark, rows, "doc_id int, text string")
+    assert got(neardup.near_duplicates(docs)) == literal(rows)
+    assert reached
+
+
+def test_across_with_two_texts_of_one_id(spark):
+    """The last step called directly: nodes are sets, not ids."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    a, b = [word() for _ in range(20)], [word() for _ in range(110)]
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a + ["x"])), (3, " ".join(b[:-1] + ["y"]))]
+    docs = frame(spark, rows, "doc_id int, text string")
+    plan = neardup.plan_for(85)
+    full = neardup.describe(docs, plan)
+    nodes = full.groupBy("set_a", "set_b", "n_shingles").agg(neardup.F.min("doc_id").alias("rep"), neardup.F.first("sig").alias("sig"))
+    nodes = neardup.staged(neardup._named(nodes), "t-nodes")
+    assert nodes.select("node").distinct().count() == 4
+    members = neardup.chunk_keys(nodes, plan).select("node", neardup.F.explode("keys").alias("key"))
+    able, fine = neardup._able(members.withColumn("component", neardup.F.col("node")), nodes, docs, 85, "doc_id", "text", 5)
+    pairs = neardup._near(neardup._across(able, nodes, 85).distinct(), fine, 85)
+    found = neardup.confirm(docs, nodes, pairs, 85, "doc_id", "text", 5).collect()
+    size = {r.node: (r.rep, r.n_shingles) for r in nodes.collect()}
+    assert sorted(sorted((size[r.u], size[r.v])) for r in found) == [[(1, 16), (2, 17)], [(1, 106), (3, 106)]]
+
+
+def test_one_text_of_several_stays_whatever_the_order(spark):
+    rows = [(5, f"text number {i} " + "word " * i) for i in range(1, 9)] + [(6, "alone here")]
+    kept = [
+        sorted(r.text for r in neardup.drop_near_duplicates(frame(spark, order, "doc_id int, text string").repartition(n)).collect())
+        for order, n in ((rows, 1), (rows[::-1], 3), (rows[4:] + rows[:4], 2))
+    ]
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
