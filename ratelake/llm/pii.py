@@ -98,14 +98,14 @@ def _walk(items: Column, step, spans: str = f"array<{_SPAN}>") -> Column:
     return _bound(items, walk)
 
 
-def _found(text: Column, pattern: str, kind: str, when: Column) -> Column:
+def _found(text: Column, pattern: Column, kind: str, when: Column) -> Column:
     """All matches of a pattern as spans, in order, before validation.
 
     The pieces between matches and the matches themselves give the positions:
     each match starts after the pieces and matches before it.
     """
     empty = F.array().cast("array<string>")
-    m = F.when(when, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(empty)
+    m = F.when(when, F.regexp_extract_all(text, pattern, F.lit(0))).otherwise(empty)
     gaps = F.when(when, F.split(text, pattern, -1)).otherwise(empty)
     pairs = F.arrays_zip(m.alias("m"), F.slice(gaps, F.lit(1), F.size(m)).alias("g"))
 
@@ -161,7 +161,7 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     }
     out = docs
     for kind in KINDS:
-        out = out.withColumn(f"_{kind}", _found(t, PATTERNS[kind], kind, when[kind]))
+        out = out.withColumn(f"_{kind}", _found(t, F.lit(PATTERNS[kind]), kind, when[kind]))
     parts = [F.filter(F.col(f"_{k}"), _check(k)) for k in KINDS]
     return out.withColumn("base", F.concat(*parts)).drop(*[f"_{k}" for k in KINDS])
 
@@ -236,24 +236,21 @@ def revealing_terms(
 def _term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, copy, terms): where texts hold revealing terms.
 
-    A text's words become rows with their places, and those of revealing terms
-    stay; no text is shuffled, and repeated rows fall together.
+    A text's distinct words meet the revealing terms; texts that hold some are
+    searched for those alone, by a pattern of their own.
     """
-    m = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
-    pieces = F.arrays_zip(m.alias("m"), F.slice(F.split("text", TERM, -1), F.lit(1), F.size(m)).alias("g"))
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.char_length(x["g"])
-        end = start + F.char_length(x["m"])
-        span = F.struct(F.lit("term").alias("kind"), start.alias("start"), end.alias("end"), x["m"].alias("value"))
-        return F.struct(end.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-
-    words = texts.where(F.col("text").rlike(TERM)).select("doc_id", "copy", F.explode(_walk(pieces, step)).alias("s"))
-    found = words.withColumn("term", F.lower("s.value")).join(terms, "term")
-    span = F.struct("s.start", "s.end", "s.value", "disclosure")
-    found = found.groupBy("doc_id", "copy").agg(F.array_sort(F.collect_set(span)).alias("terms"))
-    kind = lambda t: F.struct(F.lit("term").alias("kind"), t["start"], t["end"], t["value"], t["disclosure"])
-    return found.withColumn("terms", F.transform("terms", kind))
+    words = texts.select("doc_id", "copy", F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+    hits = words.join(terms, "term").groupBy("doc_id", "copy").agg(F.collect_set(F.struct("term", "disclosure")).alias("t"))
+    hits = staged(hits, "pii-hits").select(F.col("doc_id").alias("_i"), F.col("copy").alias("_c"), "t")
+    own = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("copy") == F.col("_c")))
+    either = F.array_join(F.transform("t", lambda t: t["term"]), "|")
+    pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), either, F.lit(r")(?!\p{L})"))
+    rows = own.select("doc_id", "copy", "t", _found(F.col("text"), pattern, "term", F.lit(True)).alias("s"))
+    known = F.map_from_entries(F.transform("t", lambda t: F.struct(t["term"], t["disclosure"])))
+    rows = rows.withColumn("known", known).dropDuplicates(["doc_id", "copy"])  # repeated rows
+    span = lambda s: F.struct(*[s[c].alias(c) for c in ("kind", "start", "end", "value")], F.try_element_at("known", F.lower(s["value"])).alias("disclosure"))
+    spans = F.filter(F.transform("s", span), lambda s: s["disclosure"].isNotNull())
+    return rows.select("doc_id", "copy", spans.alias("terms"))
 
 
 def _all_spans(docs: DataFrame, doc_id: str, text: str, threshold: float, min_support: int) -> DataFrame:
