@@ -439,6 +439,11 @@ before AS (
 yest AS ({delta_sql('before', None).replace('2002-01-15', '2002-01-14')}
 )
 {delta_sql('resolved', 'yest')}""",
+    # The second of two runs on one feed.
+    "booking_pipeline_versions": f"""{_WITH_ALL},
+yest AS ({delta_sql('resolved', None).replace('2002-01-15', '2002-01-14')}
+)
+{delta_sql('resolved', 'yest', RENAMES)}""",
     "latest_state_days": f"WITH {BOOKINGS}\nSELECT hotelhub_booking_ref, lastmodified_datetime, confirmation_ref FROM latest",
     "versioned_publish": "SELECT s_suppkey, s_name, s_nationkey, round(s_acctbal * 2, 2) AS s_acctbal FROM supplier",
     "partition_rerun": """

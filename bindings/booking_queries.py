@@ -395,6 +395,15 @@ def booking_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_pipeline(spark, root, _pipeline_inputs(spark, sf_dir, root), tables=tables)
 
 
+def booking_pipeline_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one feed, published in versions; the second keeps what it finds."""
+    root = scratch_path(spark, "pipeline_versions")
+    star_paths = _pipeline_inputs(spark, sf_dir, root)
+    options = {"stage_parts": CREATED_PARTS[:1], "publish_buckets": 32}
+    _run_pipeline(spark, root, star_paths, run_date=YESTERDAY, **options)
+    return _run_pipeline(spark, root, star_paths, **options)
+
+
 def booking_two_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run on what an earlier day published, tables included.
 
@@ -570,6 +579,7 @@ BOOKING_QUERIES = {
     "write_audit": write_audit,
     "booking_pipeline": booking_pipeline,
     "booking_two_days": booking_two_days,
+    "booking_pipeline_versions": booking_pipeline_versions,
     "stage_audit": stage_audit,
     "load_date_default": load_date_default,
     "match_null_rows": match_null_rows,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,8 +166,8 @@ def _read_or_empty(spark: SparkSession, path: str | None, schema: T.StructType)
     if path:
         try:
             return spark.read.parquet(path)
-        except Exception as e:  # AnalysisException: PATH_NOT_FOUND on a first run
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":  # a first run
                 raise
     return spark.createDataFrame([], schema)
 
@@ -185,6 +186,7 @@ def run_booking_pipeline(
     tie_break: Sequence[OrderSpec] = DEFAULT_BOOKING_TIE_BREAK,
     tables: dict[str, str] | None = None,
     stage_parts: Sequence[str] = CREATED_PARTS,
+    publish_buckets: int | None = None,
 ) -> DataFrame:
     """The daily job. Each stage is written under ``root`` (shared storage) and
     the next one starts from its files; returns the published consumer copy.
@@ -203,11 +205,19 @@ def run_booking_pipeline(
     published, consumer) to catalog
     table names; those stages are written as external tables at their paths.
     ``run_date`` defaults to the current date.
+
+    ``publish_buckets`` publishes in versions instead of rewriting the target
+    (``plans.snapshots.publish_snapshot``): a crash leaves yesterday's rows,
+    and only buckets that changed are read and written. Published and consumer
+    rows are then read with ``sources.versions.read_published``; yesterday is
+    what ``publish_path`` holds, and these stages are no catalog tables.
     """
     from ratelake.operators.delta import snapshot_delta
     from ratelake.operators.export import CONSUMER_RENAMES, renamed_for_consumer, to_contract
     from ratelake.operators.match import resolve_matches
-    from ratelake.sources.sinks import save_as_table, write_parquet, written_rows
+    from ratelake.plans.snapshots import publish_snapshot
+    from ratelake.sources.sinks import save_as_table, write_parquet
+    from ratelake.sources.versions import publish
 
     publish_path = publish_path or f"{root}/published"
     yesterday_path = yesterday_path or publish_path
@@ -220,10 +230,13 @@ def run_booking_pipeline(
             save_as_table(df, tables[stage], path, partition_by=parts)
         else:
             write_parquet(df, path, partition_by=parts)
-        audited.append((stage, path))
-        return spark.read.parquet(path)
+        return audit(stage, spark.read.parquet(path))
+
+    def audit(stage: str, stored: DataFrame) -> DataFrame:
+        audited.append(stored.agg(F.count(F.lit(1)).alias("rows")).withColumn("stage", F.lit(stage)))
+        return stored
 
-    audited: list[tuple[str, str]] = []
+    audited: list[DataFrame] = []
     if isinstance(feed_columns, str):
         schema = schema_from_json(feed_columns)
     elif isinstance(feed_columns, T.StructType):
@@ -254,15 +267,18 @@ def run_booking_pipeline(
     # match and resolve
     matched = materialize(resolve_matches(keyed, mapping, tie_break=tie_break), f"{root}/matched", stage_parts)
 
-    # publish: delta against yesterday, staged swap, consumer copy
-    load_date = F.current_date() if run_date is None else F.lit(run_date).cast("date")
-    stamped = matched.withColumns({"dl_last_modified_date": load_date, "rk": F.lit(1), "rk_f": F.lit(1)})
-    yesterday = _read_or_empty(spark, yesterday_path, to_contract(stamped).schema)
-    snapshot = snapshot_delta(matched, yesterday, run_date)
-    published = materialize(snapshot, f"{root}/publish_staging", stage="staging")
-    # The snapshot reads the published path, so it is staged before that path is replaced.
-    published = materialize(published, publish_path, stage="published")
-    consumer = materialize(renamed_for_consumer(published, CONSUMER_RENAMES), consumer_path, stage="consumer")
-    counts = [written_rows(spark, path, "rows").withColumn("stage", F.lit(stage)) for stage, path in audited]
-    write_parquet(reduce(DataFrame.unionByName, counts).coalesce(1), f"{root}/audit")  # a row per stage
+    # publish: delta against yesterday, staged swap (or a new version), consumer copy
+    if publish_buckets:
+        published = audit("published", publish_snapshot(matched, publish_path, run_date, buckets=publish_buckets))
+        consumer = audit("consumer", publish(renamed_for_consumer(published, CONSUMER_RENAMES), consumer_path))
+    else:
+        load_date = F.current_date() if run_date is None else F.lit(run_date).cast("date")
+        stamped = matched.withColumns({"dl_last_modified_date": load_date, "rk": F.lit(1), "rk_f": F.lit(1)})
+        yesterday = _read_or_empty(spark, yesterday_path, to_contract(stamped).schema)
+        snapshot = snapshot_delta(matched, yesterday, run_date)
+        published = materialize(snapshot, f"{root}/publish_staging", stage="staging")
+        # The snapshot reads the published path, so it is staged before that path is replaced.
+        published = materialize(published, publish_path, stage="published")
+        consumer = materialize(renamed_for_consumer(published, CONSUMER_RENAMES), consumer_path, stage="consumer")
+    write_parquet(reduce(DataFrame.unionByName, audited).coalesce(1), f"{root}/audit")  # a row per stage
     return consumer
