@@ -46,24 +46,28 @@ def pivot_labels(
     group_cols: Sequence[str],
     order_by: str,
 ) -> DataFrame:
-    """General label pivot: explode, keep wanted labels, pivot by label id.
+    """General label pivot: first values over all rows of a group.
 
     Output: ``group_cols`` + one column per wanted id holding the first
-    non-NULL value by ``order_by``, then by place in the array (values are
-    listed, so the pivot needs no distinct job). Where every row is its own
-    group, :func:`pivot_labels_per_row` gives the same without a shuffle.
+    non-NULL value by ``order_by``, then by place in the array. Each row first
+    gives its own first value per wanted id, with its place, so a row stays one
+    row, and groups are formed by partial aggregation before the shuffle. Where
+    every row is its own group, :func:`pivot_labels_per_row` gives the same
+    without a shuffle.
     """
-    exploded = (
-        df.select("*", F.posexplode(F.col(labels)).alias("__pos", "__label"))
-        .withColumn("__n_labels", F.size(F.col(labels)))
-        .filter(
-            (F.col("__label.id").isNull() & (F.col("__n_labels") == 1))
-            | _label_wanted(F.col("__label"), wanted)
-        )
-        .withColumn("__label_id", F.col("__label.id"))
-        .withColumn("__label_value", F.col("__label.value"))
-    )
-    # min_by skips rows whose ordering is NULL: NULL values never win.
-    rank = F.when(F.col("__label_value").isNotNull(), F.struct(F.col(order_by), F.col("__pos")))
-    value = F.min_by("__label_value", rank)
-    return exploded.groupBy(*group_cols).pivot("__label_id", list(wanted)).agg(value)
+    placed = F.transform(F.col(labels), lambda l, i: F.struct(l.alias("l"), i.alias("at")))
+
+    def own(wanted_id: str) -> Column:
+        hits = F.filter(placed, lambda x: _label_wanted(x["l"], [wanted_id]) & x["l"]["value"].isNotNull())
+        first = F.get(hits, 0)
+        return F.struct(first["l"]["value"].alias("value"), F.col(order_by).alias("by"), first["at"].alias("at"))
+
+    kept = df.filter(labels_keep_condition(labels, wanted))
+    rows = kept.select(*group_cols, *[own(w).alias(f"__v{i}") for i, w in enumerate(wanted)])
+
+    def first(i: int) -> Column:
+        # min_by skips rows whose ordering is NULL: rows without a value never win.
+        v = F.col(f"__v{i}")
+        return F.min_by(v["value"], F.when(v["value"].isNotNull(), F.struct(v["by"], v["at"])))
+
+    return rows.groupBy(*group_cols).agg(*[first(i).alias(w) for i, w in enumerate(wanted)])
