@@ -1,7 +1,8 @@
 """Language by the nearest of several centroids per language.
 
-A text is a TF-IDF vector of hashed letter bigrams and trigrams (``1 +
-ln(count)`` times inverse document frequency, length 1). Every language has a
+A text is a TF-IDF vector of hashed bigrams and trigrams over its UTF-8 bytes,
+ASCII and Latin-1 letters lower-cased and other ASCII read as blanks (``ln(1 +
+count)`` times inverse document frequency, length 1). Every language has a
 few centroids, found by clustering its vectors with spherical k-means; a text
 gets the language of the centroid with the highest cosine. A text farther from
 its centroid than the centroid's learned radius is marked ``rejected``: it
@@ -9,7 +10,8 @@ still carries the nearest language, with its score cut to under one half.
 
 Document frequencies are counted over all training documents. Centroids are
 fitted on the driver from at most ``max_examples`` training documents, dealt
-evenly to the languages (those with the smallest id hashes).
+evenly to the languages (those with the smallest id hashes); so at most
+``max_examples`` languages are learned.
 
 Defined cases: NULL text, or text without a letter, is ``und`` with score 0;
 rows without language are not learned from; without training rows every text
