@@ -12,13 +12,14 @@ number of chunks is the smallest that keeps this chance (11 at 0.80), and the
 distance in the last step follows it.
 
 Work per group of similar texts stays linear. Documents with equal sets are
-one node. Under each key all nodes are first held against one node of the key
-(two rounds, different choices), pairs are confirmed on full sets, and
-confirmed links joined to components. Only then nodes under one key that are
-still in different components are held against each other, and of those only
-nodes whose shingles found in any other such node would suffice. These nodes
-get a second, longer signature, by which a pair that is far below the
-similarity (5 standard deviations) is left out before it is written. So no pair
+one node. Under each key all nodes are first held against one node of the key,
+pairs are confirmed on full sets, and confirmed links joined to components. Of
+the nodes under one key that are still in different components only those go
+on whose shingles found in any other such node would suffice. They get a
+second, longer signature, by which a pair that is far below the similarity (5
+standard deviations) is left out before it is written, and are held against
+other nodes of their keys in three more rounds; what is then still in
+different components under one key is held against each other. So no pair
 inside a group that already hangs together is made, and no link that could
 join two components is left out.
 
@@ -175,7 +176,9 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, doc_id: str
     """(node, s): the full shingle sets of the wanted nodes."""
     wanted = staged(nodes.join(wanted, "node", "left_semi").select("node", "rep", "set_a", "set_b", "n_shingles"), "dup-wanted")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("rep"), F.col(text).cast("string").alias("text"))
-    rows = rows.join(wanted.select("rep"), "rep", "left_semi").select("text")
+    # The ids alone are a small table, so that texts need no shuffle where few are wanted.
+    reps = staged(wanted.select("rep").distinct(), "dup-reps")
+    rows = rows.join(reps, "rep", "left_semi").select("text")
 
     def run(part: pa.RecordBatch) -> pa.RecordBatch:
         sets = _sets(part.column(0), k)
@@ -185,8 +188,8 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, doc_id: str
 
     # A document may have several texts: each set goes to the node it belongs to.
     sets = rows.mapInArrow(map_texts(run), "n_shingles bigint, set_a bigint, set_b bigint, s binary")
-    named = sets.join(wanted.drop("rep"), ["set_a", "set_b", "n_shingles"]).select("node", "s")
-    return named.dropDuplicates(["node"])
+    print_ = ["set_a", "set_b", "n_shingles"]
+    return sets.join(wanted.drop("rep"), print_).dropDuplicates(print_).select("node", "s")
 
 
 def confirm(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> DataFrame:
@@ -238,7 +241,7 @@ def near_duplicates(
             rows = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
             split = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
             rows = staged(rows.join(split.select("key"), "key", "left_semi"), "dup-split")
-        if round_ == 2:
+        if round_ == 1:
             able, fine = _able(rows, nodes, docs, percent, doc_id, text, k)
             rows = staged(able, "dup-able")
             members = rows.drop("component")
