@@ -242,7 +242,10 @@ def _term_spans(texts: DataFrame, terms: DataFrame) -> DataFrame:
     words = texts.select("doc_id", "copy", F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
     hits = words.join(terms, "term").groupBy("doc_id", "copy").agg(F.collect_set(F.struct("term", "disclosure")).alias("t"))
     hits = staged(hits, "pii-hits").select(F.col("doc_id").alias("_i"), F.col("copy").alias("_c"), "t")
-    own = texts.join(hits, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("copy") == F.col("_c")))
+    # By the ids alone first, a small table: other texts then take no part in the shuffle.
+    ids = staged(hits.select(F.col("_i").alias("_d")).distinct().sort("_d"), "pii-ids")
+    own = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
+    own = own.join(hits, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("copy") == F.col("_c")))
     either = F.array_join(F.transform("t", lambda t: t["term"]), "|")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), either, F.lit(r")(?!\p{L})"))
     rows = own.select("doc_id", "copy", "t", _found(F.col("text"), pattern, "term", F.lit(True)).alias("s"))
