@@ -18,7 +18,7 @@ the nodes under one key that are still in different components only those go
 on whose shingles found in any other such node would suffice. They get a
 second, longer signature, by which a pair that is far below the similarity (5
 standard deviations) is left out before it is written, and are held against
-other nodes of their keys in three more rounds; what is then still in
+other nodes of their keys in two more rounds; what is then still in
 different components under one key is held against each other. So no pair
 inside a group that already hangs together is made, and no link that could
 join two components is left out.
@@ -39,15 +39,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged
 from ratelake.llm.components import components
 from ratelake.llm.text import Words, map_texts, mix64, shingles
 
-#: Values of the second signature, of nodes left after the first rounds.
-FINE = 512
+#: Values of the second signature, one bit each, of nodes left after the first round.
+FINE = 1024
+#: Rounds against one node of a key; in the one after them all that are left meet.
+LAST = 3
 #: Ids of nodes that are not named by a document lie from here on.
 UNNAMED = 1 << 62
 #: Values of a chunk; highest chance that a pair at the similarity shares no key;
@@ -234,27 +236,26 @@ def near_duplicates(
         nodes.select("set_a", "set_b", "n_shingles", "node"), ["set_a", "set_b", "n_shingles"]
     ).select(F.col("doc_id").alias("u"), F.col("node").alias("v"))
     links, tested = same.where("u != v"), None
-    label = fine = None
-    for round_ in range(5):
+    label, fine = None, False
+    for round_ in range(LAST + 1):
         rows = members.withColumn("component", F.col("node"))
         if label is not None:
             rows = members.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
             split = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
             rows = staged(rows.join(split.select("key"), "key", "left_semi"), "dup-split")
         if round_ == 1:
-            able, fine = _able(rows, nodes, docs, percent, doc_id, text, k)
-            rows = staged(able, "dup-able")
-            members = rows.drop("component")
-        if round_ < 4:
+            rows = staged(_able(rows, nodes, docs, percent, doc_id, text, k), "dup-able")
+            members, fine = rows.drop("component"), True
+        if round_ < LAST:
             # First one node for as many keys as possible, then another one per key:
             # a node left over meets as many members of its group as it has keys.
             pick = F.xxhash64("node") if round_ == 0 else F.xxhash64("node", "key", F.lit(round_))
-            hub = rows.groupBy("key").agg(F.min_by(F.struct("node", "component"), pick).alias("hub"))
-            pairs = rows.join(hub, "key").where("component != hub.component").select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
+            taken = F.struct("node", "component", *(["bits"] if fine else []))
+            hub = rows.groupBy("key").agg(F.min_by(taken, pick).alias("hub"))
+            pairs = rows.join(hub, "key").where("component != hub.component")
+            pairs = (pairs.where(_near("bits", "hub.bits", percent)) if fine else pairs).select(F.col("node").alias("u"), F.col("hub.node").alias("v"))
         else:
             pairs = _across(rows, nodes, percent)
-        if fine is not None:
-            pairs = _near(pairs.distinct(), fine, percent)
         pairs = pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
@@ -262,7 +263,7 @@ def near_duplicates(
         if pairs.isEmpty():
             if round_ == 0:
                 label = components(links)
-            if round_ in (0, 4) or rows.isEmpty():
+            if round_ in (0, LAST) or rows.isEmpty():
                 break
             continue
         found = staged(confirm(docs, nodes, pairs, percent, doc_id, text, k), f"dup-links{round_}")
@@ -274,9 +275,9 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """``rows`` of nodes that can still be similar to another one, with bounds, and
-    (node, sig): their second signatures.
+def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_id: str, text: str, k: int) -> DataFrame:
+    """``rows`` of nodes that can still be similar to another one, with bounds and
+    their second signatures (``bits``).
 
     A shingle that no other of these nodes holds is in no intersection. What is
     left of a set bounds all its intersections, which rules out most members of
@@ -295,8 +296,7 @@ def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_
     alone = alone.groupBy("node").agg(F.count("*").alias("alone"))
     size = nodes.select("node", F.col("n_shingles").alias("n")).join(alone, "node", "left")
     size = size.select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most"))
-    able = rows.join(size, "node").where(100 * F.col("most") >= percent * F.col("n"))
-    able = staged(able.select("key", "node", "component", "n", "most"), "dup-bounds")
+    able = staged(size.where(100 * F.col("most") >= percent * F.col("n")), "dup-bounds")
     a, b = _factors(FINE, 20240301)
 
     def sign(batches):
@@ -305,33 +305,26 @@ def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_
                 part = batch.slice(i, 256)
                 sets_ = [np.frombuffer(s.as_buffer(), np.uint64) for s in part.column(1)]
                 at = np.concatenate([[0], np.cumsum([len(s) for s in sets_])])[:-1]
-                sig = _signature(np.concatenate(sets_), at, a, b)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in sig], pa.binary())], names=["node", "sig"])
+                low = _signature(np.concatenate(sets_), at, a, b) & np.uint16(1)
+                bits = np.packbits(low.astype(np.uint8), axis=1).view(np.int64)
+                off = pa.array(np.arange(len(sets_) + 1, dtype=np.int32) * bits.shape[1])
+                arrays = pa.ListArray.from_arrays(off, pa.array(bits.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column(0), arrays], names=["node", "bits"])
 
-    left = sets.join(able.select("node").distinct(), "node", "left_semi")
-    return able, staged(left.mapInArrow(sign, "node bigint, sig binary"), "dup-fine")
+    left = sets.join(able.select("node"), "node", "left_semi").mapInArrow(sign, "node bigint, bits array<bigint>")
+    left = staged(left, "dup-fine").join(able, "node")
+    return rows.select("key", "node", "component").join(left, "node").select("key", "node", "component", "n", "most", "bits")
 
 
-def _near(pairs: DataFrame, fine: DataFrame, percent: int) -> DataFrame:
-    """The (u, v) pairs whose second signatures are near enough."""
-    far = _far(FINE, percent / 100)
-    both = pairs.join(fine.select(F.col("node").alias("u"), F.col("sig").alias("su")), "u").join(
-        fine.select(F.col("node").alias("v"), F.col("sig").alias("sv")), "v"
-    )
-
-    def run(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, 2048):
-                part = b.slice(i, 2048)
-                p, q = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(-1, FINE) for c in (2, 3))
-                yield part.select([0, 1]).filter(pa.array((p != q).sum(axis=1) < far))
-
-    return both.select("u", "v", "su", "sv").mapInArrow(run, "u bigint, v bigint")
+def _near(a: str, b: str, percent: int) -> Column:
+    """Whether two second signatures are near enough: a value that differs shows in its bit half of the time."""
+    differing = [F.bit_count(F.col(f"{a}")[i].bitwiseXOR(F.col(f"{b}")[i])) for i in range(FINE // 64)]
+    return sum(differing[1:], differing[0]) < _far(FINE, 1 - (1 - percent / 100) / 2)
 
 
 def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of nodes under one key but in different components, within their
-    bounds; each pair under the first key it shares only."""
+    bounds and near by their second signatures; each pair under the first key it shares only."""
     own = chunk_keys(nodes.join(able.select("node").distinct(), "node", "left_semi"), plan_for(percent))
     rows = able.join(own, "node")
     rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.array_position("keys", F.col("key")).cast("int") - 1)).drop("keys")
@@ -339,7 +332,7 @@ def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     shared = F.least("a.most", "b.most")
     near = 100 * shared >= percent * (F.col("a.n") + F.col("b.n") - shared)
     first = ~F.coalesce(F.arrays_overlap("a.before", "b.before"), F.lit(False))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & near & first)
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & near & first & _near("a.bits", "b.bits", percent))
     return pairs.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"))
 
 

@@ -171,8 +171,8 @@ def test_across_with_two_texts_of_one_id(spark):
     nodes = neardup.staged(neardup._named(nodes), "t-nodes")
     assert nodes.select("node").distinct().count() == 4
     members = neardup.chunk_keys(nodes, plan).select("node", neardup.F.explode("keys").alias("key"))
-    able, fine = neardup._able(members.withColumn("component", neardup.F.col("node")), nodes, docs, 85, "doc_id", "text", 5)
-    pairs = neardup._near(neardup._across(able, nodes, 85).distinct(), fine, 85)
+    able = neardup._able(members.withColumn("component", neardup.F.col("node")), nodes, docs, 85, "doc_id", "text", 5)
+    pairs = neardup._across(able, nodes, 85).distinct()
     found = neardup.confirm(docs, nodes, pairs, 85, "doc_id", "text", 5).collect()
     size = {r.node: (r.rep, r.n_shingles) for r in nodes.collect()}
     assert sorted(sorted((size[r.u], size[r.v])) for r in found) == [[(1, 16), (2, 17)], [(1, 106), (3, 106)]]
