@@ -23,6 +23,7 @@ from ratelake.sources.feeds import (
     drop_bad_rows,
     rename_columns,
 )
+from ratelake.sources.sinks import clustered
 
 
 def _prepare(batch: DataFrame) -> DataFrame:
@@ -54,7 +55,8 @@ def ingest_new_feed_files(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = _prepare(reader.csv(landing))
+    # Without this every task writes a file of its own for every day it meets.
+    stream = clustered(_prepare(reader.csv(landing)), CREATED_PARTS)
     query = (
         stream.writeStream.format("parquet")
         .option("path", raw_path)

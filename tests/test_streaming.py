@@ -29,3 +29,14 @@ def test_each_run_reads_only_new_files(spark):
     # A rerun with nothing new appends nothing.
     ingest_new_feed_files(spark, landing, COLS, raw, ckpt, file_glob="*.csv")
     assert spark.read.parquet(raw).count() == 2
+
+
+def test_a_day_is_written_into_few_files(spark):
+    root = scratch_path(spark, "stream-test").replace("file:", "")
+    landing, raw = f"{root}/landing", f"{root}/raw"
+    for i in range(6):
+        _drop(landing, f"d{i}.csv", [f"CFD\t190524\t{i}", f"CFD\t190525\t{i}"])
+    ingest_new_feed_files(spark, landing, COLS, raw, f"{root}/ckpt", file_glob="*.csv")
+    back = spark.read.parquet(raw)
+    assert back.count() == 12
+    assert len(back.inputFiles()) == 2  # a file a day, whichever files the rows came in
