@@ -78,3 +78,25 @@ def test_empty_yesterday(spark):
     empty = spark.createDataFrame([], to_contract(stamped).schema)
     out = snapshot_delta(today, empty, "2020-01-01")
     assert rows(out, "hotelhub_booking_ref") == [("a",)]
+
+
+def test_wide_rows_are_neither_sorted_nor_shuffled(spark, tmp_path):
+    data = [(f"r{i}", T0, f"f{i % 40}", f"p{i}", None if i % 9 == 0 else f"k{i % 50}", 4, "PUB", f"c{i}") for i in range(120)]
+    today = today_frame(spark, data)
+    stamped = today.withColumn("dl_last_modified_date", F.lit("2019-12-31").cast("date"))
+    old = to_contract(stamped.where("hotelhub_booking_ref < 'r5'").withColumn("new_rate_bucket", F.expr("if(full_mk > 'f3', 'OLD', 'PUB')")))
+    today.write.parquet(f"{tmp_path}/today")
+    old.write.parquet(f"{tmp_path}/old")
+    sides = [spark.read.parquet(f"{tmp_path}/{side}") for side in ("today", "old")]
+    out = snapshot_delta(*sides, "2020-01-01", stored=("today", "yesterday"))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Sort [" not in plan
+    got = rows(out, "hotelhub_booking_ref", "pnr_mk", "dl_last_modified_date")
+    # By hand: unchanged rows of yesterday first (older load date), then the smallest reference of a key.
+    best = {}
+    for ref, _, full, _, key, *_ in data:
+        kept = key is not None and ref < "r5" and not full > "f3"
+        best[key] = min(best.get(key, (2, "")), (0 if kept else 1, ref))
+    day = {0: dt.datetime(2019, 12, 31), 1: dt.datetime(2020, 1, 1)}
+    assert got == sorted(((ref, key, day[new]) for key, (new, ref) in best.items()), key=repr)
+    assert rows(snapshot_delta(today, old, "2020-01-01"), "hotelhub_booking_ref", "pnr_mk", "dl_last_modified_date") == got
