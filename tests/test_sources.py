@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import rows
+from ratelake.plans import bookings as B
 from ratelake.plans.bookings import feed_schema, ingest_feed
 from ratelake.session import scratch_path
 from ratelake.sources.feeds import schema_from_json
@@ -117,3 +118,18 @@ def test_csv_is_sorted_over_its_files(spark):
     files = sorted(glob.glob(f"{path}/part-*.csv"))
     body = [int(x) for f in files for x in open(f).read().split()]
     assert len(files) > 1 and body == list(range(500))
+
+
+def test_feed_exports_are_packed_and_read_back_whole(spark, tmp_path, monkeypatch):
+    import glob
+
+    from bindings import booking_queries as Q
+
+    monkeypatch.setattr(Q, "EXPORT_ROWS", 10)
+    names = ["ref", "created_date", "note"]
+    data = [(f"r{i}", "190524", [None, " a ", "tab\there", "é"][i % 4]) for i in range(35)]
+    Q._export(spark.createDataFrame(data, B.feed_schema(names)).coalesce(1), f"{tmp_path}/feed")
+    made = glob.glob(f"{tmp_path}/feed/*.csv.lz4")
+    assert len(made) == 4
+    back = B.ingest_feed(spark, f"{tmp_path}/feed/*.csv.lz4", B.feed_schema(names))
+    assert rows(back, *names) == sorted(data, key=repr)
