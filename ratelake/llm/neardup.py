@@ -47,7 +47,9 @@ from ratelake.llm.components import components
 from ratelake.llm.text import Words, map_texts, mix64, shingles
 
 #: Values of the second signature, one bit each, of nodes left after the first round.
-FINE = 1024
+FINE = 4096
+#: Those that are compared first.
+COARSE = 1024
 #: Rounds against one node of a key; in the one after them all that are left meet.
 LAST = 3
 #: Ids of nodes that are not named by a document lie from here on.
@@ -301,8 +303,8 @@ def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_
 
     def sign(batches):
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
                 sets_ = [np.frombuffer(s.as_buffer(), np.uint64) for s in part.column(1)]
                 at = np.concatenate([[0], np.cumsum([len(s) for s in sets_])])[:-1]
                 low = _signature(np.concatenate(sets_), at, a, b) & np.uint16(1)
@@ -318,8 +320,11 @@ def _able(rows: DataFrame, nodes: DataFrame, docs: DataFrame, percent: int, doc_
 
 def _near(a: str, b: str, percent: int) -> Column:
     """Whether two second signatures are near enough: a value that differs shows in its bit half of the time."""
-    differing = [F.bit_count(F.col(f"{a}")[i].bitwiseXOR(F.col(f"{b}")[i])) for i in range(FINE // 64)]
-    return sum(differing[1:], differing[0]) < _far(FINE, 1 - (1 - percent / 100) / 2)
+    p = 1 - (1 - percent / 100) / 2
+    first = [F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(COARSE // 64)]
+    differing = F.zip_with(F.col(a), F.col(b), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    total = F.aggregate(differing, F.lit(0), lambda n, x: n + x)
+    return (sum(first[1:], first[0]) < _far(COARSE, p)) & (total < _far(FINE, p))
 
 
 def _across(able: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

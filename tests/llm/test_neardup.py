@@ -185,3 +185,26 @@ def test_one_text_of_several_stays_whatever_the_order(spark):
         for order, n in ((rows, 1), (rows[::-1], 3), (rows[4:] + rows[:4], 2))
     ]
     assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 2
+
+
+def test_pairs_below_the_similarity_are_not_made(spark):
+    """A loose group (all pairs alike at about 0.79) makes few pairs to confirm, and loses no link."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(1000)]
+    texts = []
+    for i in range(40):
+        w = list(base)
+        for j in rng.sample(range(0, 1000, 5), 12):
+            w[j] = f"e{i}x{j}"
+        texts.append(" ".join(w))
+    texts += [f"{texts[0]} one more", f"{texts[1]} another end"]
+    rows = list(enumerate(texts))
+    docs = frame(spark, rows, "doc_id int, text string")
+    plan = neardup.plan_for(85)
+    nodes = neardup.describe(docs, plan).withColumnRenamed("doc_id", "rep").withColumn("node", neardup.F.col("rep"))
+    nodes = neardup.staged(nodes, "t-nodes")
+    members = neardup.chunk_keys(nodes, plan).select("node", neardup.F.explode("keys").alias("key"))
+    able = neardup._able(members.withColumn("component", neardup.F.col("node")), nodes, docs, 85, "doc_id", "text", 5)
+    pairs = {tuple(r) for r in neardup._across(able, nodes, 85).distinct().collect()}
+    assert {(0, 40), (1, 41)} <= pairs and len(pairs) < 42 * 41 // 2 // 4
+    assert got(neardup.near_duplicates(docs)) == literal(rows)
