@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged
 from ratelake.llm.components import components
-from ratelake.llm.text import Words, map_texts, mix64, shingles
+from ratelake.llm.text import SMALL, Words, map_texts, mix64, shingles
 
 #: Values of the second signature, one bit each, of nodes left after the first round.
 FINE = 4096
@@ -142,7 +142,7 @@ def describe(docs: DataFrame, plan: Plan, doc_id: str = "doc_id", text: str = "t
         )
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(map_texts(run), _DESCRIBED)
+    return rows.mapInArrow(map_texts(run, limit=SMALL), _DESCRIBED)
 
 
 def _named(nodes: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, doc_id: str
         return pa.RecordBatch.from_arrays(made, names=["n_shingles", "set_a", "set_b", "s"])
 
     # A document may have several texts: each set goes to the node it belongs to.
-    sets = rows.mapInArrow(map_texts(run), "n_shingles bigint, set_a bigint, set_b bigint, s binary")
+    sets = rows.mapInArrow(map_texts(run, limit=SMALL), "n_shingles bigint, set_a bigint, set_b bigint, s binary")
     print_ = ["set_a", "set_b", "n_shingles"]
     return sets.join(wanted.drop("rep"), print_).dropDuplicates(print_).select("node", "s")
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged
-from ratelake.llm.text import Words, map_texts, shingles, utf8
+from ratelake.llm.text import SMALL, Words, map_texts, shingles, utf8
 
 FEATURES = (
     "bytes", "upper", "digits", "symbols", "stops", "shouts", "bars", "blanks", "foreign", "word_length",
@@ -228,7 +228,7 @@ def train(
         x = text_features(part.column(1))
         return pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array([r.tobytes() for r in x], pa.binary())], names=["_i", "y", "x"])
 
-    picked = rows.select(F.col("_i").cast("bigint").alias("_i"), "text", "_y").mapInArrow(map_texts(run), "_i bigint, y int, x binary")
+    picked = rows.select(F.col("_i").cast("bigint").alias("_i"), "text", "_y").mapInArrow(map_texts(run, limit=SMALL), "_i bigint, y int, x binary")
     picked = picked.orderBy(F.xxhash64("_i"), "_i", "x").limit(max_examples).select("x", "y").collect()
     x = np.frombuffer(b"".join(r[0] for r in picked), np.float32).reshape(len(picked), len(FEATURES))
     return AdditiveModel().fit(x, np.array([r[1] for r in picked], float))
@@ -244,7 +244,7 @@ def quality_scores(docs: DataFrame, model: AdditiveModel, doc_id: str = "doc_id"
         )
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(map_texts(run), "doc_id bigint, score double")
+    return rows.mapInArrow(map_texts(run, limit=SMALL), "doc_id bigint, score double")
 
 
 def drop_low_quality(docs: DataFrame, model: AdditiveModel, at_least: float = 0.5, text: str = "text") -> DataFrame:
@@ -255,4 +255,4 @@ def drop_low_quality(docs: DataFrame, model: AdditiveModel, at_least: float = 0.
         x = text_features(part.column(part.schema.get_field_index(text)))
         return part.filter(pa.array(shared.value.score(x) >= at_least))
 
-    return docs.mapInArrow(map_texts(run, text), docs.schema)
+    return docs.mapInArrow(map_texts(run, text, SMALL), docs.schema)

@@ -15,7 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE = 4 << 20
-_SEGMENT = 1 << 20
+#: Where nothing is summed over a slice, a small one does.
+SMALL = 1 << 20
+_SEGMENT = 1 << 17
 _R = np.uint64(0x9E3779B97F4A7C55)
 _R_INV = np.uint64(pow(int(_R), -1, 1 << 64))
 _powers = {}
@@ -153,12 +155,12 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
     return mix64(acc)
 
 
-def map_texts(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text"):
+def map_texts(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], text: str = "text", limit: int = SLICE):
     """A ``mapInArrow`` function that applies ``fn`` slice by slice."""
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit):
                 out = fn(part)
                 if out is not None and out.num_rows:
                     yield out
