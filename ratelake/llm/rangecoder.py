@@ -166,7 +166,7 @@ def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
         out_lane.append(np.arange(lanes))
         out_word.append((low >> np.uint64(48 - 16 * k)).astype(np.uint16))
     lane, word = np.concatenate(out_lane), np.concatenate(out_word)
-    order = np.argsort(lane, kind="stable")
+    order = np.argsort(lane.astype(np.uint16), kind="stable")  # MAX_LANES fit
     body = _HEAD.pack(MAGIC, VERSION, alphabet, n, lanes)
     body += np.bincount(lane, minlength=lanes).astype("<u4").tobytes() + word[order].astype("<u2").tobytes()
     return body + struct.pack("<I", zlib.crc32(body))

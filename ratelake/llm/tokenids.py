@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.rangecoder import decode_block, encode_block
-from ratelake.llm.text import slices
+from ratelake.llm.text import SMALL, Words, slices
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
-#: Words, and pieces of words, kept with their ids in each worker.
-CACHE_WORDS = 200_000
+#: Words kept by ``Recent``, and words and pieces of words kept with their ids in each worker.
+CACHE_WORDS, TABLE_WORDS = 200_000, 1_000_000
 #: Fixed: how the tokenizer splits a word into pieces that it encodes one by one.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Latin-1 characters that lower-casing, normalisation and white space treat
@@ -60,6 +60,50 @@ class Recent:
         return new
 
 
+class WordTable:
+    """Ids of words by the words' 64-bit hashes, in arrays sorted by hash."""
+
+    def __init__(self, kind: np.dtype):
+        self.hash = np.zeros(0, np.uint64)
+        self.at, self.n = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.used = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, kind)
+        self.turn = 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of words, -1 where a word is not known; they hold until the next ``add``."""
+        if not len(self.hash):
+            return np.full(len(hashes), -1)
+        i = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        i[self.hash[i] != hashes] = -1
+        self.used[i[i >= 0]] = self.turn
+        return i
+
+    def add(self, hashes: np.ndarray, n: np.ndarray, ids: np.ndarray) -> None:
+        """New words: hashes in ascending order, numbers of ids, ids in a row."""
+        if len(self.hash) > TABLE_WORDS:
+            self._forget()
+        spot = np.searchsorted(self.hash, hashes)
+        self.hash = np.insert(self.hash, spot, hashes)
+        self.at = np.insert(self.at, spot, len(self.ids) + np.cumsum(n) - n)
+        self.n = np.insert(self.n, spot, n)
+        self.used = np.insert(self.used, spot, self.turn)
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _forget(self) -> None:
+        """The half that was not asked for lately goes, words of this turn stay."""
+        middle = np.partition(self.used, len(self.used) // 2)[len(self.used) // 2]
+        keep = np.flatnonzero(self.used > min(middle, self.turn - 1))
+        self.ids = self.of(keep)
+        self.hash, self.n, self.used = self.hash[keep], self.n[keep], self.used[keep]
+        self.at = np.cumsum(self.n) - self.n
+
+    def of(self, places: np.ndarray) -> np.ndarray:
+        """The ids of words one after the other."""
+        n = self.n[places]
+        return self.ids[np.repeat(self.at[places] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+
+
 class TextEncoder:
     """Ids of texts by a public tokenizer, words that recur looked up.
 
@@ -77,7 +121,7 @@ class TextEncoder:
         self.tok = Tokenizer.from_str(definition)
         self.size = self.tok.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.words, self.pieces = Recent(), Recent()
+        self.table = WordTable(self.kind)
 
     def _plain(self, text: str) -> bool:
         try:
@@ -89,31 +133,67 @@ class TextEncoder:
         found = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _piece_ids(self, pieces: list[str], at_once: int = 2000) -> list[bytes]:
-        """Ids of single pieces, many in one text: the tokenizer numbers them in order."""
-        out = []
+    def _piece_ids(self, pieces: list[str], at_once: int = 2000) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids, and ids, of single pieces, many in one text: the tokenizer numbers them in order."""
+        n, ids = [np.zeros(0, np.int64)], [np.zeros(0, self.kind)]
         for i in range(0, len(pieces), at_once):
             part = pieces[i : i + at_once]
             e = self.tok.encode(" ".join(part), add_special_tokens=False)
             number = np.array(e.word_ids, np.int64)
-            if number[-1] + 1 != len(part):
-                out += self._ids(part)
-                continue
-            raw, z = np.array(e.ids, self.kind).tobytes(), self.kind.itemsize
-            cuts = (np.searchsorted(number, np.arange(len(part) + 1)) * z).tolist()
-            out += [raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
-        return out
+            if number[-1] + 1 == len(part):
+                n.append(np.bincount(number, minlength=len(part)))
+                ids.append(np.array(e.ids, self.kind))
+            else:
+                raw = self._ids(part)
+                n.append(np.array([len(r) // self.kind.itemsize for r in raw], np.int64))
+                ids.append(np.frombuffer(b"".join(raw), self.kind))
+        return np.concatenate(n), np.concatenate(ids)
+
+    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Enter words that the table does not hold, those of several pieces by their pieces."""
+        single = np.array([w.isalpha() for w in words], bool)
+        several = np.flatnonzero(~single).tolist()
+        split = [self.pieces_of(words[i]) for i in several]
+        pieces = list(set().union(*split))
+        known = _hashes(pieces)
+        missing = self.table.find(known) < 0
+        ones, first = np.unique(np.concatenate([hashes[single], known[missing]]), return_index=True)
+        asked = [words[i] for i in np.flatnonzero(single)] + [pieces[i] for i in np.flatnonzero(missing)]
+        self.table.add(ones, *self._piece_ids([asked[i] for i in first]))
+        # Words that are one piece are entered; the others are their pieces in a row.
+        hashes = hashes[several]
+        left = np.flatnonzero(self.table.find(hashes) < 0)
+        if not len(left):
+            return
+        number = dict(zip(pieces, range(len(pieces))))
+        rows = [split[i] for i in left]
+        places = self.table.find(known)[[number[p] for ps in rows for p in ps]]
+        start = np.cumsum([0] + [len(ps) for ps in rows[:-1]])
+        self.table.add(hashes[left], np.add.reduceat(self.table.n[places], start), self.table.of(places))
+
+    def _looked_up(self, texts: list[str]) -> list[np.ndarray]:
+        words, table = Words(pa.array(texts, pa.large_string())), self.table
+        table.turn += 1
+        own, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        new = np.flatnonzero(table.find(own) < 0)
+        if len(new):
+            cuts = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist())
+            raw = words.data.tobytes()
+            self._learn(own[new], [raw[a:b].decode() for a, b in cuts])
+        places = table.find(own)[which]
+        ends = np.concatenate([[0], np.cumsum(table.n[places])])[words.off]
+        ids = table.of(places)
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.lower().split() if self._plain(t) else None for t in texts]
-        new = {w: self.pieces_of(w) for w in self.words.missing(set().union(*filter(None, split)))}
-        pieces = self.pieces.missing(set().union(*new.values()))
-        self.pieces.now.update(zip(pieces, self._piece_ids(pieces)))
-        of = self.pieces.now.__getitem__
-        self.words.now.update((w, b"".join(map(of, ps))) for w, ps in new.items())
-        whole = iter(self._ids([t for t, s in zip(texts, split) if s is None]))
-        get = self.words.now.__getitem__
-        return [np.frombuffer(next(whole) if s is None else b"".join(map(get, s)), self.kind) for s in split]
+        plain = [self._plain(t) for t in texts]
+        whole = iter(self._ids([t for t, p in zip(texts, plain) if not p]))
+        words = iter(self._looked_up([t.lower() for t, p in zip(texts, plain) if p]))
+        return [next(words) if p else np.frombuffer(next(whole), self.kind) for p in plain]
+
+
+def _hashes(words: list[str]) -> np.ndarray:
+    return Words(pa.array(words, pa.large_string())).hashes()
 
 
 _encoders: dict[int, TextEncoder] = {}
@@ -165,7 +245,7 @@ def write_token_ids(
             )
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 2 * SMALL):
                 names = part.column(0).to_pylist()
                 for name, x in zip(names, encoder.encode(part.column(1).to_pylist())):
                     ids.append(np.concatenate([x, end]))

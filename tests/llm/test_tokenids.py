@@ -1,5 +1,6 @@
 """Range coder and token-id files: exact round trips."""
 
+import random
 import zlib
 
 import numpy as np
@@ -88,3 +89,37 @@ def test_query(spark):
         assert (r["start"], r["n_tokens"]) == (at, len(ids))
         assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
         at += len(ids)
+
+
+def _encoder():
+    with open(PATH, encoding="utf-8") as f:
+        return tokenids.TextEncoder(f.read())
+
+
+def test_words_kept_take_little_memory():
+    import gc
+    import tracemalloc
+
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefghijkl") for _ in range(8)) + rng.choice(["", ",", "!?"]) for _ in range(1000)) for _ in range(60)]
+    encoder = _encoder()
+    encoder.encode(texts[:1])
+    tracemalloc.start()
+    for i in range(0, len(texts), 20):
+        encoder.encode(texts[i : i + 20])
+    gc.collect()
+    kept = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert kept < 6 << 20
+
+
+def test_ids_stay_when_words_are_forgotten(monkeypatch):
+    monkeypatch.setattr(tokenids, "TABLE_WORDS", 50, raising=False)
+    rng = random.Random(9)
+    words = ["don't", "it's", "''s", "a1b22", "½x", "caf\u00e9,", "ÉTÉ", "#tag", "\u00b5m", "x" * 300, "'", "we'll", "--", "5"]
+    words += ["".join(rng.choice("abcde'1.") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    encoder = _encoder()
+    for _ in range(30):
+        texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(8)] + ["", " \n ", "\u4e2d\u6587 <|endoftext|> x"]
+        want = [encoder.tok.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in encoder.encode(texts)] == want
