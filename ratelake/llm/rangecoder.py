@@ -69,13 +69,13 @@ class _Model:
         """Guesses and weights for lanes with the ids before (p1, then p2)."""
         self.p1 = p1
         self.slot = ((p1 * 0x9E3779B1 + p2 * 0x85EBCA77) >> 8) & ((1 << _HASH_BITS) - 1)
-        self.g1, self.g2 = self.c1[p1], self.c2[self.slot]
-        self.k1, self.k2 = self.f1[p1], self.f2[self.slot]
+        self.g1, self.g2 = self.c1.take(p1), self.c2.take(self.slot)
+        self.k1, self.k2 = self.f1.take(p1), self.f2.take(self.slot)
         same = self.g1 == self.g2
         self.state = (self.k2 * _CONF + self.k1) * 2 + same
         share = self.seen / self.seen.sum(axis=1, keepdims=True)
         w = (share * ((1 << _TOT) - _MIN_W)).astype(np.int64)
-        w1, w2 = w[self.state, 1], w[self.state, 2]
+        w1, w2 = w[:, 1].take(self.state), w[:, 2].take(self.state)
         w1[same] = 0
         self.w0 = (1 << _TOT) - w1 - w2
         swap = self.g1 < self.g2
@@ -83,7 +83,7 @@ class _Model:
         self.wl, self.wh = np.where(swap, w1, w2), np.where(swap, w2, w1)
 
     def base(self, ids: np.ndarray) -> np.ndarray:
-        return (self.cdf[ids] * self.w0) >> _T0
+        return (self.cdf.take(ids) * self.w0) >> _T0
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         start, end = self.base(ids), self.base(ids + 1)
@@ -128,6 +128,27 @@ def _shape(n: int) -> tuple[int, int]:
     return (-(-n // steps) if n else 1), steps
 
 
+def _settle(low: np.ndarray, rng: np.ndarray):
+    """Move settled words out of ``low`` and ``rng`` (in place): lanes and their words, until none is left.
+
+    Only lanes that moved can have to move again.
+    """
+    move, lo, ra = None, low, rng
+    while True:
+        settled = ((lo ^ (lo + ra)) >> _48) == 0
+        small = ra < _BOT
+        hit = np.flatnonzero(settled | small)
+        if not len(hit):
+            return
+        move = hit if move is None else move[hit]
+        lo, ra = lo[hit], ra[hit]
+        ra = np.where(settled[hit], ra, (~lo + np.uint64(1)) & (_BOT - np.uint64(1))) << _16
+        word = (lo >> _48).astype(np.uint16)
+        lo = lo << _16
+        low[move], rng[move] = lo, ra
+        yield move, word
+
+
 def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
     ids = np.asarray(ids, np.int64)
     n = len(ids)
@@ -147,18 +168,9 @@ def encode_block(ids: np.ndarray, alphabet: int) -> bytes:
         r = rng[:a] >> _28
         lo = low[:a] + r * cum.astype(np.uint64)
         ra = r * freq.astype(np.uint64)
-        while True:
-            settled = ((lo ^ (lo + ra)) >> _48) == 0
-            small = ra < _BOT
-            move = np.flatnonzero(settled | small)
-            if not len(move):
-                break
-            cut = np.flatnonzero(small & ~settled)
-            ra[cut] = (~lo[cut] + np.uint64(1)) & (_BOT - np.uint64(1))
+        for move, word in _settle(lo, ra):
             out_lane.append(move)
-            out_word.append((lo[move] >> _48).astype(np.uint16))
-            lo[move] <<= _16
-            ra[move] <<= _16
+            out_word.append(word)
         low[:a], rng[:a] = lo, ra
         model.update(x)
         p1, p2 = x, p1[:a]
@@ -203,18 +215,10 @@ def decode_block(block: bytes) -> np.ndarray:
         cum, freq = model.interval(x)
         lo = lo + r * cum.astype(np.uint64)
         ra = r * freq.astype(np.uint64)
-        while True:
-            settled = ((lo ^ (lo + ra)) >> _48) == 0
-            small = ra < _BOT
-            move = np.flatnonzero(settled | small)
-            if not len(move):
-                break
-            cut = np.flatnonzero(small & ~settled)
-            ra[cut] = (~lo[cut] + np.uint64(1)) & (_BOT - np.uint64(1))
-            code[move] = (code[move] << _16) | words[ptr[move]]
-            ptr[move] += 1
-            lo[move] <<= _16
-            ra[move] <<= _16
+        for move, _ in _settle(lo, ra):
+            at_word = ptr[move]
+            code[move] = (code[move] << _16) | words[at_word]
+            ptr[move] = at_word + 1
         low[:a], rng[:a] = lo, ra
         out[at[:a] + t] = x
         model.update(x)
