@@ -23,8 +23,11 @@ from ratelake.sources.feeds import (
     drop_bad_rows,
     rename_columns,
 )
-from ratelake.sources.sinks import clustered
+from ratelake.sources.sinks import clustered, shuffles_removed
 
+# Fixed value: feed files that one micro-batch takes (as stored, so packed ones hold more rows).
+# Its shuffle files and what its sorts spill are all the disk that a run needs beside its output.
+MICRO_BATCH = 512 << 20
 
 def _prepare(batch: DataFrame) -> DataFrame:
     b = rename_columns(drop_bad_rows(batch, "created_date"), FEED_RENAMES)
@@ -40,6 +43,7 @@ def ingest_new_feed_files(
     checkpoint: str,
     file_glob: str = "*",
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int | None = MICRO_BATCH,
 ) -> None:
     """Append the feed files that arrived in ``landing`` to the raw stage.
 
@@ -55,15 +59,18 @@ def ingest_new_feed_files(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     # Without this every task writes a file of its own for every day it meets.
     stream = clustered(_prepare(reader.csv(landing)), CREATED_PARTS)
-    query = (
-        stream.writeStream.format("parquet")
-        .option("path", raw_path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(*CREATED_PARTS)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with shuffles_removed(spark):
+        query = (
+            stream.writeStream.format("parquet")
+            .option("path", raw_path)
+            .option("checkpointLocation", checkpoint)
+            .partitionBy(*CREATED_PARTS)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
